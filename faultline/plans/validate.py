@@ -15,16 +15,22 @@ from faultline.sources import folder as drop
 
 def validate_folder(spark: SparkSession, folder: str, schema: SensorSchema, mode: str = "training",
                     pattern: str = validation.FILE_NAME_PATTERN, extension: str = ".csv") -> DataFrame:
-    """Verdict table ``(file, sha256, reason, verdict, target_name)``, one row per file."""
+    """Verdict table ``(file, sha256, spanning, reason, verdict, target_name)``, one row per file.
+
+    ``spanning`` marks files in which a quoted field contains a line break.
+    """
     validation.check_mode(mode)
     chunks = durable(validation.chunk_facts(drop.line_records(drop.lines(spark, folder, extension)), schema))
-    headers = drop.digests(spark, folder, extension)
+    headers = drop.digests(spark, folder, extension).withColumn("spanning", F.lit(False))
     spanning = chunks.where("open").select("file").distinct()
     if not spanning.isEmpty():
         records = drop.spanning_records(spark, folder, spanning, extension)
         first = records.where(F.col("line_id") == 0).select("file", F.col("cells").alias("spanning_header"))
         headers = headers.join(first, "file", "left").select(
-            "file", "sha256", F.coalesce("spanning_header", "header").alias("header")
+            "file",
+            "sha256",
+            F.coalesce("spanning_header", "header").alias("header"),
+            F.col("spanning_header").isNotNull().alias("spanning"),
         )
         chunks = chunks.join(spanning, "file", "left_anti").unionByName(validation.chunk_facts(records, schema))
     judged = validation.verdicts(
