@@ -15,18 +15,47 @@ INTEGER_PATTERN = rf"(?U)\A{BLANK}[+-]?{DIGITS}{BLANK}\z"
 FLOAT_PATTERN = (
     rf"(?iU)\A{BLANK}[+-]?(?:(?:{DIGITS}\.?(?:{DIGITS})?|\.{DIGITS})(?:e[+-]?{DIGITS})?|inf(?:inity)?|nan){BLANK}\z"
 )
+# What nearly all cells look like: a subset of the two patterns above that matches much faster.
+PLAIN_INTEGER = r"\A[+-]?[0-9]++\z"
+PLAIN_FLOAT = r"\A[+-]?[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?\z"
 NON_BLANK_PATTERN = r"(?U)[^\s\x1c-\x1f]"
 
 # JSON type name -> checked family; other names are not checked.
 CHECKED_TYPES = {"float": "float", "double": "float", "int": "integer", "integer": "integer"}
 
 
+# A comma that is followed by neither a plain number nor an empty cell.
+IRREGULAR_CELL = r",(?!(?:[+-]?[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?)?+(?:,|\z))"
+FILLED_FIRST_CELL = r"\A[^,]*[^\s\x1c-\x1f\x85\p{Z},][^,]*,"
+
+
+def is_plain_line(line: Column, kinds: list[str]) -> Column:
+    """True only for an unquoted line with every column present, an id, plain numbers or gaps, and a filled last cell.
+
+    Nearly all lines of a sound file are like that; four scans of the text settle them without building cells.
+    Always false unless the columns are an unchecked one, floats, and a last one that is float or integer.
+    """
+    families = [CHECKED_TYPES.get(kind) for kind in kinds]
+    if len(families) < 2 or families[0] is not None or set(families[1:-1]) - {"float"} or families[-1] is None:
+        return F.lit(False)
+    last = F.substring_index(line, ",", -1)
+    return (
+        ~line.contains('"')
+        & (F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) == len(kinds) - 1)
+        & last.rlike(PLAIN_INTEGER if families[-1] == "integer" else PLAIN_FLOAT)
+        & line.rlike(FILLED_FIRST_CELL)
+        & ~line.rlike(IRREGULAR_CELL)
+    )
+
+
 def is_blank(cell: Column) -> Column:
     return ~cell.rlike(NON_BLANK_PATTERN)
 
 
 def fits(cell: Column, family: str) -> Column:
-    return cell.rlike(FLOAT_PATTERN if family == "float" else INTEGER_PATTERN)
+    if family == "float":
+        return cell.rlike(PLAIN_FLOAT) | cell.rlike(FLOAT_PATTERN)
+    return cell.rlike(PLAIN_INTEGER) | cell.rlike(INTEGER_PATTERN)
 
 
 def missing_to_null(cell: Column) -> Column:

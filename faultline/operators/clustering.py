@@ -6,6 +6,8 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from faultline.functions import literal_arrays as constants
+
 # The cluster count in use, the sweep's end, and the seed.
 CLUSTERS = 3
 MAX_CLUSTERS = 10
@@ -51,7 +53,7 @@ def square_distance(array: Column, centre: Column) -> Column:
 
 def nearest_centre(array: Column, centres: list[list[float]]) -> Column:
     """Index of the nearest of a few given centres, the lower index on ties."""
-    distances = F.array(*[square_distance(array, F.lit(c).cast("array<double>")) for c in centres])
+    distances = F.array(*[square_distance(array, constants.doubles(c)) for c in centres])
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 

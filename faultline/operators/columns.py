@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faultline.functions import literals
+from faultline.functions import literal_arrays as constants, literals
 
 # Label headers, in order of preference, and id headers of a prediction table.
 LABEL_COLUMNS = ("Output", "output", "Good/Bad", "goodbad")
@@ -84,12 +84,12 @@ def all_null(stats: DataFrame) -> Column:
 
 def project(array: Column, positions: list[int]) -> Column:
     """The array's elements at ``positions``, in that order."""
-    return F.transform(F.lit(positions).cast("array<int>"), lambda p: F.get(array, p))
+    return F.transform(constants.ints(positions), lambda p: F.get(array, p))
 
 
 def fill(array: Column, values: list[float]) -> Column:
     """NULL elements replaced by the fitted value of their position."""
-    return F.zip_with(array, F.lit(values).cast("array<double>"), lambda x, v: F.coalesce(x, v))
+    return F.zip_with(array, constants.doubles(values), lambda x, v: F.coalesce(x, v))
 
 
 def modes(df: DataFrame, position: str = "position", value: str = "value") -> DataFrame:

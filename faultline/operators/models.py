@@ -21,6 +21,7 @@ from pyspark.ml import classification as ml
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from faultline.functions import literal_arrays as constants
 from faultline.operators.neighbors import knn_vote
 
 SEED = 42
@@ -164,7 +165,7 @@ def _half_log_odds(sensors: Column, stumps: list[list[float]]) -> Column:
     """Sum over stumps of half the log-odds of class 1 in the row's leaf."""
     if not stumps:
         return F.lit(0.0)
-    table = F.lit([[float(v) for v in s] for s in stumps]).cast("array<array<double>>")
+    table = constants.double_rows(stumps)
     return F.aggregate(
         table, F.lit(0.0), lambda total, s: total + F.when(F.get(sensors, s[0].cast("int")) <= s[1], s[2]).otherwise(s[3])
     )
@@ -215,7 +216,7 @@ def _fit_ada(train: DataFrame) -> Fitted:
     there is no lineage to cut.
     """
     points = _split_points(train)
-    edges = F.lit(points).cast("array<array<double>>")
+    edges = constants.double_rows(points)
     bins = F.transform("sensors", lambda x, i: F.size(F.filter(F.get(edges, i), lambda edge: edge < x)))
     frame = train.select("sensors", bins.alias("bins"), F.col("label").cast("double").alias("label")).persist()
     sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
@@ -224,7 +225,9 @@ def _fit_ada(train: DataFrame) -> Fitted:
         for _ in range(ADA_ROUNDS):
             weight = F.exp(-sign * _half_log_odds(F.col("sensors"), stumps))
             cells = (
-                frame.select("label", weight.alias("weight"), F.posexplode("bins").alias("position", "bin"))
+                # The weight is taken before the explode, once per row.
+                frame.select("label", weight.alias("weight"), "bins")
+                .select("label", "weight", F.posexplode("bins").alias("position", "bin"))
                 .groupBy("position", "bin")
                 .agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("label")).alias("w1"))
             )

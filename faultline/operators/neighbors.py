@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from faultline.functions import literal_arrays as constants
 from faultline.operators import columns as cols
 from faultline.session import durable
 
@@ -231,8 +232,8 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
     per_home = {r["home"]: r["n"] for r in routes.groupBy("home").agg(F.count("*").alias("n")).collect()}
     if not per_home:
         return empty
-    blocks = F.lit([max(1, -(-int(c) // rows)) for c in layout.count]).cast("array<int>")
-    groups = F.lit([max(1, -(-per_home.get(c, 0) // rows)) for c in range(len(layout.count))]).cast("array<int>")
+    blocks = constants.ints(max(1, -(-int(c) // rows)) for c in layout.count)
+    groups = constants.ints(max(1, -(-per_home.get(c, 0) // rows)) for c in range(len(layout.count)))
 
     def salt(column: str, of: Column, home: str) -> Column:
         return F.pmod(F.xxhash64(column, F.lit(17)), F.get(of, F.col(home))).cast("int")

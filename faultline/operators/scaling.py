@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from faultline.functions import literal_arrays as constants
+
 
 def fit_scaler(df: DataFrame, array: str = "sensors", group: str | None = None) -> dict:
     """``{group: (means, deviations)}``, or one such pair; a constant coordinate keeps deviation 1."""
@@ -24,8 +26,8 @@ def fit_scaler(df: DataFrame, array: str = "sensors", group: str | None = None)
 
 
 def scale(array: Column, means: list[float], deviations: list[float]) -> Column:
-    centred = F.zip_with(array, F.lit(means).cast("array<double>"), lambda x, m: x - m)
-    return F.zip_with(centred, F.lit(deviations).cast("array<double>"), lambda x, d: x / d)
+    centred = F.zip_with(array, constants.doubles(means), lambda x, m: x - m)
+    return F.zip_with(centred, constants.doubles(deviations), lambda x, d: x / d)
 
 
 def scale_by_group(array: Column, group: Column, scalers: dict) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faultline.functions import literals, names
+from faultline.functions import literal_arrays as constants, literals, names
 from faultline.schema import MODES, SensorSchema
 
 # Fixed value: the file-name pattern.
@@ -38,13 +38,11 @@ def named_header(header: Column) -> Column:
 def header_reason(header: Column, schema: SensorSchema, mode: str) -> Column:
     """Reason for an unacceptable header; ``header`` is as read, with its unnamed first cell not yet replaced."""
     check_mode(mode)
-    named = named_header(header)
     labelled = mode == "training"
     compared = schema.names[:-1] if labelled else schema.names
-    expected = F.lit([names.normalize_name(n) for n in compared])
-    normal = F.transform(named, names.normalize)
-    last = F.element_at(named, -1)
-    got = F.slice(normal, 1, F.size(normal) - 1) if labelled else normal
+    expected = constants.strings(names.normalize_name(n) for n in compared)
+    n_got = F.size(header) - (1 if labelled else 0)
+    last = F.element_at(named_header(header), -1)
     reason = F.when(F.size(header) == 0, "Header is empty")
     if labelled:
         reason = reason.when(
@@ -52,9 +50,12 @@ def header_reason(header: Column, schema: SensorSchema, mode: str) -> Column:
             F.concat(F.lit("Last column should be 'Output' or 'Good/Bad', got '"), last, F.lit("'")),
         )
     return reason.when(
-        F.size(got) != len(compared),
-        F.concat(F.lit(f"Column count mismatch: expected {len(compared)}, got "), F.size(got).cast("string")),
-    ).when(got != expected, "Columns do not match schema")
+        n_got != len(compared),
+        F.concat(F.lit(f"Column count mismatch: expected {len(compared)}, got "), n_got.cast("string")),
+    ).when(
+        F.transform(F.slice(named_header(header), 1, len(compared)), names.normalize) != expected,
+        "Columns do not match schema",
+    )
 
 
 # -- rules on the cells -------------------------------------------------------------------------------------
@@ -63,7 +64,7 @@ def header_reason(header: Column, schema: SensorSchema, mode: str) -> Column:
 def first_bad_position(cells: Column, schema: SensorSchema) -> Column:
     """1-based position of the first cell that does not fit its column's type, 0 if all fit."""
     families = [literals.CHECKED_TYPES.get(kind) for kind in schema.types]
-    family = F.lit([{"float": 1, "integer": 2}.get(f, 0) for f in families])
+    family = constants.ints({"float": 1, "integer": 2}.get(f, 0) for f in families)
 
     def unfit(cell: Column, i: Column) -> Column:
         kind = F.get(family, i)
@@ -88,7 +89,9 @@ def _filled_span(cells: Column, width: int) -> tuple[Column, Column]:
 
 
 def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
-    """Reduce records ``(file, chunk, line_id, cells[, failure, open])`` to a few rows per file split.
+    """Reduce records ``(file, chunk, line_id, cells[, failure, open, plain])`` to a few rows per file split.
+
+    A ``plain`` record is known to be filled at both ends and to fit the schema.
 
     A line that could be the header (its first typed cell carries that column's name) keeps a group of its
     own, so that the true header can be told from repeated ones afterwards; all other lines of a split
@@ -99,6 +102,7 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
     cells = F.col("cells")
     failure = F.col("failure") if "failure" in records.columns else F.lit(None).cast("string")
     opened = F.col("open") if "open" in records.columns else F.lit(False)
+    plain = F.col("plain") if "plain" in records.columns else F.lit(False)
     header_like = names.normalize(F.get(cells, F.lit(typed))) == names.normalize_name(schema.names[typed])
     low, high = _filled_span(cells, width)
     extras = F.aggregate(
@@ -113,12 +117,12 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
         "file",
         "chunk",
         "line_id",
-        F.when(header_like, F.col("line_id")).alias("header_id"),
-        F.size(cells).alias("n_cells"),
-        first_bad_position(cells, schema).alias("position"),
-        low.alias("low"),
-        high.alias("high"),
-        F.when(F.size(cells) > width, extras).otherwise(F.lit(0)).cast("bigint").alias("extras"),
+        F.when(~plain & header_like, F.col("line_id")).alias("header_id"),
+        F.when(plain, width).otherwise(F.size(cells)).alias("n_cells"),
+        F.when(plain, F.lit(0)).otherwise(first_bad_position(cells, schema)).alias("position"),
+        F.when(plain, F.lit(1)).otherwise(low).alias("low"),
+        F.when(plain, F.lit(width)).otherwise(high).alias("high"),
+        F.when(~plain & (F.size(cells) > width), extras).otherwise(F.lit(0)).cast("bigint").alias("extras"),
         failure.alias("failure"),
         opened.alias("open"),
         "cells",
@@ -150,12 +154,11 @@ def file_facts(chunks: DataFrame) -> DataFrame:
     Works on the few rows per split that ``chunk_facts`` leaves, not on lines.
     """
     in_file = Window.partitionBy("file").orderBy("chunk")
-    in_chunk = Window.partitionBy("file", "chunk")
     numbered = chunks.select(
         "*",
         F.coalesce(F.sum("n_lines").over(in_file.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.min("first_id").over(in_chunk).alias("chunk_start"),
-        F.min("chunk").over(Window.partitionBy("file")).alias("first_chunk"),
+        F.min("first_id").over(in_file.rangeBetween(0, 0)).alias("chunk_start"),
+        F.min("chunk").over(in_file.rangeBetween(Window.unboundedPreceding, 0)).alias("first_chunk"),
     )
     is_header = (
         (F.col("chunk") == F.col("first_chunk"))
@@ -189,7 +192,7 @@ def file_facts(chunks: DataFrame) -> DataFrame:
 
 def cell_reason(header: Column, schema: SensorSchema) -> Column:
     """Reason from the first failing cell of ``file_facts``."""
-    kinds = F.lit(schema.types)
+    kinds = constants.strings(schema.types)
     position = F.col("error.position").cast("int")
     named = named_header(header)
     return F.when(

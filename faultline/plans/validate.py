@@ -20,7 +20,7 @@ def validate_folder(spark: SparkSession, folder: str, schema: SensorSchema, mode
     ``spanning`` marks files in which a quoted field contains a line break.
     """
     validation.check_mode(mode)
-    chunks = durable(validation.chunk_facts(drop.line_records(drop.lines(spark, folder, extension)), schema))
+    chunks = durable(validation.chunk_facts(drop.line_records(drop.lines(spark, folder, extension), schema.types), schema))
     headers = drop.digests(spark, folder, extension).withColumn("spanning", F.lit(False))
     spanning = chunks.where("open").select("file").distinct()
     if not spanning.isEmpty():

@@ -11,7 +11,7 @@ import io
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from faultline.functions import csvcells
+from faultline.functions import csvcells, literals
 
 FIELD_LIMIT = csv.field_size_limit()
 RECORD_SCHEMA = "file string, chunk bigint, line_id bigint, cells array<string>, failure string"
@@ -67,17 +67,21 @@ def lines(spark: SparkSession, folder: str, extension: str = ".csv") -> DataFram
     )
 
 
-def line_records(numbered: DataFrame) -> DataFrame:
-    """One record per line; ``open`` marks lines whose record continues on the next one."""
+def line_records(numbered: DataFrame, kinds: list[str]) -> DataFrame:
+    """One record per line; ``open`` marks lines whose record continues on the next one.
+
+    Lines that are ``plain`` for the column types ``kinds`` carry no cells: they are known to be sound.
+    """
     oversized = F.exists("cells", lambda cell: F.length(cell) > FIELD_LIMIT)
     return (
-        numbered.withColumn("cells", csvcells.cells(F.col("line")))
+        numbered.withColumn("plain", (F.length("line") <= FIELD_LIMIT) & literals.is_plain_line(F.col("line"), kinds))
+        .withColumn("cells", F.when(~F.col("plain"), csvcells.cells(F.col("line"))))
         .withColumn(
             "failure",
             # Only a line above the limit can hold a cell above it.
             F.when((F.length("line") > FIELD_LIMIT) & oversized, f"field larger than field limit ({FIELD_LIMIT})"),
         )
-        .withColumn("open", csvcells.is_open(F.col("line")))
+        .withColumn("open", ~F.col("plain") & csvcells.is_open(F.col("line")))
         .drop("line")
     )
 
