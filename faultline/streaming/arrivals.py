@@ -30,6 +30,7 @@ def append_arrivals(spark: SparkSession, folder: str, schema: SensorSchema, tabl
     """
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", f"*{extension}")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
