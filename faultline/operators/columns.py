@@ -67,9 +67,13 @@ def pack(columns: list[str], kind: str = "double") -> Column:
 
 
 def position_stats(df: DataFrame, array: str = "sensors") -> DataFrame:
-    """Per position: rows with a value, minimum, maximum, mean."""
+    """Per position: rows, rows with a value, minimum, maximum, mean."""
     return df.select(F.posexplode(array).alias("position", "value")).groupBy("position").agg(
-        F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean")
+        F.count("*").alias("rows"),
+        F.count("value").alias("n"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.avg("value").alias("mean"),
     )
 
 

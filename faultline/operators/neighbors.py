@@ -170,14 +170,16 @@ def _summary(donors: DataFrame, width: int, n_rows: int, means: list[float], key
 
 
 def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key", array: str = "sensors", k: int = 5,
-                   block_rows: int | None = None, max_cells: int = MAX_CELLS) -> DataFrame:
+                   stats: list | None = None, block_rows: int | None = None, max_cells: int = MAX_CELLS) -> DataFrame:
     """``(key, position, value)`` for every missing position of ``queries`` that has at least one usable donor.
 
-    ``donors`` and ``queries`` are read several times; pass stored or checkpointed frames.
+    ``donors`` and ``queries`` are read several times; pass stored or checkpointed frames. ``stats`` are the
+    collected ``position_stats`` of the donors, where the caller has them.
     """
     spark = donors.sparkSession
     key_type = donors.schema[key].dataType
-    stats = cols.position_stats(donors, array).orderBy("position").collect()
+    if stats is None:
+        stats = cols.position_stats(donors, array).orderBy("position").collect()
     empty = spark.createDataFrame([], T.StructType([T.StructField("key", key_type), T.StructField("position", T.IntegerType()), T.StructField("value", T.DoubleType())]))
     if not stats:
         return empty
@@ -186,7 +188,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
     rows = block_rows or int(np.clip(BLOCK_BYTES // (8 * width), *BLOCK_ROWS))
     donors = donors.select(F.col(key).alias("donor"), F.col(array).alias("x"))
     queries = queries.select(F.col(key).alias("key"), F.col(array).alias("x"))
-    layout = _summary(donors.withColumnRenamed("donor", "key"), width, donors.count(), means, "key", "x", rows, max_cells)
+    layout = _summary(donors.withColumnRenamed("donor", "key"), width, stats[0]["rows"], means, "key", "x", rows, max_cells)
 
     shared = spark.sparkContext.broadcast(layout)
 
@@ -200,7 +202,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
 
     donor_schema = T.StructType([T.StructField("donor", key_type), T.StructField("x", T.ArrayType(T.DoubleType())),
                                  T.StructField("cell", T.IntegerType()), T.StructField("distance", T.DoubleType())])
-    placed = donors.mapInArrow(assigned, donor_schema)
+    placed = durable(donors.mapInArrow(assigned, donor_schema))
     n_missing = F.aggregate("x", F.lit(0), lambda n, v: n + v.isNull().cast("int"))
     per_cell = {
         r["cell"]: (r["n"], r["radius"], r["missing"])
@@ -288,8 +290,9 @@ def knn_impute(df: DataFrame, key: str = "row_key", array: str = "sensors", k: i
     source = df if donors is None else donors
     incomplete = F.exists(array, lambda v: v.isNull())
     gaps = df.where(incomplete)
-    means = [r["mean"] for r in cols.position_stats(source, array).orderBy("position").collect()]
-    values = neighbor_means(gaps, source, key, array, k, **layout)
+    stats = cols.position_stats(source, array).orderBy("position").collect()
+    means = [r["mean"] for r in stats]
+    values = neighbor_means(gaps, source, key, array, k, stats, **layout)
     per_row = values.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("_found"))
     found = F.transform(array, lambda v, i: F.coalesce(v, F.try_element_at("_found", i)))
     filled = (
