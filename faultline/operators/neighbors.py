@@ -8,10 +8,11 @@ The work is laid out as a partitioned join, never as a cross join:
 
 1. donors are assigned to cells around a bounded number of pivots, and each cell is summarised by its pivot
    radius, coordinate ranges and counts;
-2. from these summaries alone every query gets an upper bound of its k-th distance, and is sent only to cells
-   whose lower bound does not exceed it (triangle inequality and coordinate ranges, both corrected for
-   missing coordinates), so skipping a cell can never change a result;
-3. cells are split into blocks and queries into groups of bounded size, so a hot cell is many tasks;
+2. every query first searches its most promising cell; the k-th distance found there, or else one bounded from
+   the summaries, limits the other cells to those whose lower bound does not exceed it (triangle inequality and
+   coordinate ranges, both corrected for missing coordinates), so skipping a cell can never change a result;
+3. cells are split into donor blocks of bounded size; queries are packed into groups of about the same size,
+   close ones together and a hot cell's over several groups, so any hot spot is many tasks;
 4. each (cell, block, group) task keeps a local top-k; one shuffle on the query key merges them.
 
 Pivots only steer the layout. Worst-case work stays rows x incomplete rows, which is inherent in the operator.
@@ -81,8 +82,11 @@ class Layout:
         kept = np.maximum(self.width - self.max_missing, 0)
         return sure + running[np.arange(len(maybe)), kept]
 
-    def visits(self, q: np.ndarray, k: int) -> np.ndarray:
-        """Cells that can hold one of the ``k`` nearest donors of ``q`` for one of its missing coordinates."""
+    def visits(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells that can hold one of the ``k`` nearest donors of ``q`` for one of its missing coordinates.
+
+        The most promising cell comes first. With each cell goes a lower bound of the squared distance.
+        """
         known = ~np.isnan(q)
         x = np.where(known, q, 0.0)
         usable = (self.always | self.sometimes) & known
@@ -103,7 +107,26 @@ class Layout:
         enough = supply >= k
         first = np.where(enough.any(0), enough.argmax(0), -1)
         bound = np.inf if (first < 0).any() else most[order[first]].max()
-        return np.flatnonzero((n_most > 0) & (least * (1 - ROUNDING) <= bound * (1 + ROUNDING)))
+        chosen = order[(n_most[order] > 0) & (least[order] * (1 - ROUNDING) <= bound * (1 + ROUNDING))]
+        return chosen, least[chosen]
+
+
+def _pack(layout: Layout, counts: dict[int, int], rows: int) -> tuple[list[int], list[int]]:
+    """First query group of each home cell, and over how many groups the cell's queries are spread.
+
+    Cells next to each other along the pivots' main direction share a group until it is full.
+    """
+    centred = layout.pivots - layout.pivots.mean(0)
+    along = centred @ np.linalg.svd(centred, full_matrices=False)[2][0]
+    first, spread = [0] * len(along), [1] * len(along)
+    group, filled = 0, 0
+    for cell in np.argsort(along, kind="stable"):
+        n = counts.get(int(cell), 0)
+        if filled and filled + n > rows:
+            group, filled = group + 1, 0
+        first[cell], spread[cell] = group, max(1, -(-n // rows))
+        group, filled = group + spread[cell] - 1, filled + n // spread[cell]
+    return first, spread
 
 
 def _local_top(queries: np.ndarray, donors: np.ndarray, keys: np.ndarray, k: int):
@@ -222,37 +245,29 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
         for batch in batches:
             x = _matrix(batch.column("x"), width)
             home, _ = bounds.value.assign(x)
-            visits = [bounds.value.visits(q, k).astype(np.int32) for q in x]
+            visits = [bounds.value.visits(q, k) for q in x]
+            cells = pa.array([v[0].astype(np.int32) for v in visits], pa.list_(pa.int32()))
+            least = pa.array([v[1] for v in visits], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("x"), pa.array(home, pa.int32()), pa.array(visits, pa.list_(pa.int32()))],
-                names=["key", "x", "home", "cells"],
+                [batch.column("key"), batch.column("x"), pa.array(home, pa.int32()), cells, least],
+                names=["key", "x", "home", "cells", "least"],
             )
 
     query_schema = T.StructType([T.StructField("key", key_type), T.StructField("x", T.ArrayType(T.DoubleType())),
-                                 T.StructField("home", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+                                 T.StructField("home", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType())),
+                                 T.StructField("least", T.ArrayType(T.DoubleType()))])
     routes = durable(queries.mapInArrow(routed, query_schema))
     per_home = {r["home"]: r["n"] for r in routes.groupBy("home").agg(F.count("*").alias("n")).collect()}
     if not per_home:
         return empty
     blocks = constants.ints(max(1, -(-int(c) // rows)) for c in layout.count)
-    groups = constants.ints(max(1, -(-per_home.get(c, 0) // rows)) for c in range(len(layout.count)))
+    first, spread = map(constants.ints, _pack(layout, per_home, rows))
 
-    def salt(column: str, of: Column, home: str) -> Column:
-        return F.pmod(F.xxhash64(column, F.lit(17)), F.get(of, F.col(home))).cast("int")
-
-    sent = (
-        routes.withColumn("group", salt("key", groups, "home"))
-        .select("key", "x", "home", "group", F.explode("cells").alias("cell"))
-        .select("key", "x", "home", "group", "cell", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)).alias("block"))
-    )
-    asked = (
-        routes.withColumn("group", salt("key", groups, "home"))
-        .select(F.col("home").alias("asker"), F.col("group").alias("asker_group"), F.explode("cells").alias("cell"))
-        .distinct()
-        .select("asker", "asker_group", "cell", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)).alias("block"))
-    )
-    offered = placed.drop("distance").withColumn("block", salt("donor", blocks, "cell")).join(asked, ["cell", "block"])
+    def salt(column: str, of: Column, cell: str) -> Column:
+        return F.pmod(F.xxhash64(column, F.lit(17)), F.get(of, F.col(cell))).cast("int")
 
+    every_block = F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)).alias("block")
+    grouped = routes.withColumn("group", F.get(first, F.col("home")) + salt("key", spread, "home"))
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         donor_keys = right.column("donor").to_numpy()
         d, q = _matrix(right.column("x"), width), _matrix(left.column("x"), width)
@@ -267,10 +282,35 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
 
     top_schema = T.StructType([T.StructField("key", key_type), T.StructField("position", T.IntegerType()), T.StructField("donor", key_type),
                                T.StructField("distance", T.DoubleType()), T.StructField("donated", T.DoubleType())])
-    asking = sent.groupBy("cell", "block", "home", "group")
-    offering = offered.groupBy("cell", "block", "asker", "asker_group")
-    local = asking.cogroup(offering).applyInArrow(best, top_schema)
+
+    def search(asking: DataFrame) -> DataFrame:
+        """Local top-k of every (cell, block, group) for queries with their ``cells`` to visit."""
+        to_cell = asking.select("key", "x", "group", F.explode("cells").alias("cell"))
+        sent = to_cell.select("key", "x", "group", "cell", every_block)
+        pairs = asking.select(F.col("group").alias("asker"), F.explode("cells").alias("cell")).distinct()
+        offered = placed.drop("distance").withColumn("block", salt("donor", blocks, "cell")).join(
+            pairs.select("asker", "cell", every_block), ["cell", "block"]
+        )
+        return sent.groupBy("cell", "block", "group").cogroup(offered.groupBy("cell", "block", "asker")).applyInArrow(best, top_schema)
+
     nearest_first = Window.partitionBy("key", "position").orderBy("distance", "donor")
+    local = search(grouped.withColumn("cells", F.slice("cells", 1, 1)))
+    if len(layout.count) > 1:
+        local = durable(local)
+        reached = (
+            local.repartition("key")
+            .withColumn("rank", F.row_number().over(nearest_first))
+            .where(F.col("rank") == k)
+            .groupBy("key")
+            .agg(F.count("*").alias("n_full"), F.max("distance").alias("reach"))
+        )
+        within = F.when(F.col("n_full") == n_missing, F.col("reach")).otherwise(F.lit(float("inf")))
+        others = F.filter(
+            F.slice(F.arrays_zip("cells", "least"), 2, len(layout.count)),
+            lambda c: c["least"] * (1 - ROUNDING) <= F.col("within") * (1 + ROUNDING),
+        )
+        rest = grouped.join(reached, "key", "left").withColumn("within", within).withColumn("cells", F.transform(others, lambda c: c["cells"]))
+        local = local.unionByName(search(durable(rest.where(F.size("cells") > 0).select("key", "x", "group", "cells"))))
     return (
         # Partitioned on the key alone, so that ranking, averaging and a later join on the key share one shuffle.
         local.repartition("key")
