@@ -18,7 +18,8 @@ def test_auc(spark, digits):
     y = rng.integers(0, 2, 900)
     s = np.round(rng.random(900) + 0.2 * y, digits)
     frame = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, score double").repartition(5)
-    assert metrics.roc_auc(frame).first()["auc"] == pytest.approx(brute_auc(y, s), abs=1e-12)
+    for n_rows in (None, 900):
+        assert metrics.roc_auc(frame, n_rows=n_rows).first()["auc"] == pytest.approx(brute_auc(y, s), abs=1e-12)
 
 
 def test_bucket_counts_edges(spark):
