@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faultline.functions import literal_arrays as constants
 from faultline.operators.neighbors import knn_vote
+from faultline.session import ship_package
 
 SEED = 42
 # Library defaults of the candidate models.
@@ -111,6 +112,8 @@ def _fourier(width: int, n_features: int, gamma: float, seed: int):
 
 
 def _with_fourier(df: DataFrame, width: int, n_features: int, gamma: float, seed: int) -> DataFrame:
+    ship_package(df.sparkSession)
+
     @F.pandas_udf("array<double>")
     def lifted(sensors: pd.Series) -> pd.Series:
         weights, shift = _fourier(width, n_features, gamma, seed)

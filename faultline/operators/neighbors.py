@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from faultline.functions import literal_arrays as constants
 from faultline.operators import columns as cols
-from faultline.session import durable
+from faultline.session import durable, ship_package
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = (256, 2048)
@@ -200,6 +200,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
     collected ``position_stats`` of the donors, where the caller has them.
     """
     spark = donors.sparkSession
+    ship_package(spark)
     key_type = donors.schema[key].dataType
     if stats is None:
         stats = cols.position_stats(donors, array).orderBy("position").collect()

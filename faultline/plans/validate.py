@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faultline.operators import validation
 from faultline.schema import SensorSchema
-from faultline.session import durable
+from faultline.session import durable, ship_package
 from faultline.sources import folder as drop
 
 
@@ -72,6 +72,7 @@ def route_files(judged: DataFrame, folder: str, good_dir: str, bad_dir: str, mod
 
     Folders are absolute paths or URIs that each executor can reach.
     """
+    ship_package(judged.sparkSession)
     _reset_folder(good_dir)
     _reset_folder(bad_dir)
     work = partial(_copy_partition, folder=folder, good_dir=good_dir, bad_dir=bad_dir, mode=mode)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="faultline-package-")) / "faultline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, Path(root.name) / source.relative_to(root))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
 

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faultline.functions import csvcells, literals
+from faultline.session import ship_package
 
 FIELD_LIMIT = csv.field_size_limit()
 RECORD_SCHEMA = "file string, chunk bigint, line_id bigint, cells array<string>, failure string"
@@ -116,6 +117,7 @@ def _read_spanning(batches):
 
 def spanning_records(spark: SparkSession, folder: str, files: DataFrame, extension: str = ".csv") -> DataFrame:
     """Records of the files whose quoted fields contain line breaks; such a file is read in order, by one task."""
+    ship_package(spark)
     whole = _scan(spark, extension).format("binaryFile").load(folder)
     wanted = whole.select(_base_name(F.col("path")).alias("file"), "content").join(files, "file", "left_semi")
     return wanted.mapInPandas(_read_spanning, RECORD_SCHEMA)
