@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -47,31 +48,42 @@ def ship_package(spark: SparkSession) -> None:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
 
-    A lost executor re-reads the checkpoint files instead of replaying the plan. Only a local-mode session
-    without that setting gets a temporary folder; a cluster without it is refused, because a machine-local
-    folder is not shared by its executors.
+    A lost executor re-reads the checkpoint files instead of replaying the plan. Only a session whose driver
+    runs all tasks (master ``local`` or ``local[n]``) gets a folder of its own when the setting is absent; a
+    cluster without it is refused, because a machine-local folder is not shared by its executors.
     """
-    _shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet to the shared folder and read it back: each task's work is done once and kept.
+
+    Unlike a checkpoint, later reads take only the columns that they use.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored_by(df: DataFrame, column: str) -> DataFrame:
     """Write ``df`` to the shared folder, partitioned by ``column``, and read it back.
 
     A filter on ``column`` then reads its own part only, so working through the values one by one costs one
     pass over the data instead of one pass per value. Generated ids are fixed by it, too.
     """
-    path = f"{_shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.partitionBy(column).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which every executor reaches."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
         if named is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
             named = tempfile.mkdtemp(prefix="faultline-checkpoints-")
         sc.setCheckpointDir(named)
