@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from faultline.llm import exact_dedup, mixing
+from faultline.llm import exact_dedup, mixing, packing, simhash
 from faultline.llm.tables import table
 
 
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -15,7 +19,11 @@ def op6_mixing(spark, sf_dir):
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_mixing)}
+def op9_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_exact_dedup, op6_mixing, op9_packing)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
