@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import exact_dedup, mixing, packing, simhash
+from faultline.llm import exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash
 from faultline.llm.tables import table
 
 
@@ -14,16 +14,36 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_line_labels(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return line_labels.judged(docs, line_labels.learned(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fitted(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_mixing(spark, sf_dir):
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_text(spark, sf_dir):
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_exact_dedup, op6_mixing, op9_packing)}
+def op10_language(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_exact_dedup, op3_line_labels, op5_quality, op6_mixing, op8_html_text, op9_packing, op10_language,
+)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
