@@ -41,8 +41,10 @@ def statistics(text: Column) -> dict[str, Column]:
     rate = lambda part, whole: F.when(whole > 0, part / whole).otherwise(0.0)
     found = {name: rate(F.regexp_count(text, F.lit(pattern)), chars) for name, pattern in CHARACTERS.items()}
     listed = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), words.cast("int")), F.lit(NEARBY)), lambda at: F.size(F.array_distinct(F.slice(listed, at, F.lit(NEARBY)))))
-    distinct = F.aggregate(windows, F.lit(0), lambda total, n: total + n)
+    in_window = lambda some, at: F.size(F.array_distinct(F.slice(some, at, F.lit(NEARBY))))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), words.cast("int")), F.lit(NEARBY))
+    # The outer lambda holds the word list, which would else be made anew for every window.
+    distinct = F.element_at(F.transform(F.array(listed), lambda some: F.aggregate(starts, F.lit(0), lambda total, at: total + in_window(some, at))), 1)
     return found | {"chars_per_word": rate(chars, words), "distinct_nearby": rate(distinct, words), "log_words": F.log1p(words.cast("double"))}
 
 
