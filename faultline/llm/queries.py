@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash
+from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash
 from faultline.llm.tables import table
 
 
@@ -19,6 +19,10 @@ def op3_line_labels(spark, sf_dir):
     return line_labels.judged(docs, line_labels.learned(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_block_anchors(spark, sf_dir):
+    return block_anchors.removable(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.fitted(docs, table(spark, sf_dir, "labels")))
@@ -42,7 +46,7 @@ def op10_language(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_exact_dedup, op3_line_labels, op5_quality, op6_mixing, op8_html_text, op9_packing, op10_language,
+    op1_simhash, op2_exact_dedup, op3_line_labels, op4_block_anchors, op5_quality, op6_mixing, op8_html_text, op9_packing, op10_language,
 )}
 
 ORACLES = {
@@ -55,6 +59,24 @@ WITH rows AS (
   FROM rows WINDOW best AS (PARTITION BY digest ORDER BY code_points DESC, doc_id NULLS LAST)
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, digest AS text_sha256 FROM ranked
+""",
+    "op4_block_anchors": r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), listed AS (
+  SELECT row_id, doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split
+), windows AS (
+  SELECT row_id, doc_id, i, string_agg(word, ' ') OVER ahead AS w, count(*) OVER ahead AS n
+  FROM listed WINDOW ahead AS (PARTITION BY row_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), firsts AS (
+  SELECT w, min(doc_id) AS low FROM windows WHERE n = 13 GROUP BY w
+), gone AS (
+  SELECT DISTINCT row_id, i + unnest(range(13)) AS i FROM windows JOIN firsts USING (w) WHERE n = 13 AND low < coalesce(doc_id, 9223372036854775807)
+), kept AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM listed ANTI JOIN gone USING (row_id, i) GROUP BY row_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(words)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (row_id)
 """,
     # All quotients are listed and sorted here, which only a small table allows.
     "op6_mixing": r"""
