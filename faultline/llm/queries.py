@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash
+from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash, suffix_family
 from faultline.llm.tables import table
 
 
@@ -33,6 +33,10 @@ def op6_mixing(spark, sf_dir):
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_suffix_family(spark, sf_dir):
+    return suffix_family.removable(table(spark, sf_dir, "documents"))
+
+
 def op8_html_text(spark, sf_dir):
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -46,7 +50,7 @@ def op10_language(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_exact_dedup, op3_line_labels, op4_block_anchors, op5_quality, op6_mixing, op8_html_text, op9_packing, op10_language,
+    op1_simhash, op2_exact_dedup, op3_line_labels, op4_block_anchors, op5_quality, op6_mixing, op7_suffix_family, op8_html_text, op9_packing, op10_language,
 )}
 
 ORACLES = {
