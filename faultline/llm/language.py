@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from faultline.llm.tables import held_out
-from faultline.session import ship_package
+from faultline.session import ship_package, stored
 
 DIMENSIONS = 1024
 PER_LANGUAGE = 1000
@@ -82,11 +82,13 @@ def _with_letters(texts: list[str | None]) -> list[str]:
 def prototypes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """lang and its prototype (an array of longs), learned from rows that are not held out and have a language."""
     ship_package(docs.sparkSession)
-    known = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = known.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    readable = ~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    known = docs.filter(readable).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    sample = known.join(sizes, F.col("lang") == F.col("of")).filter(place * F.col("n") < per_language).select("lang", "text")
+    # The sample is picked on ids and languages alone; texts meet only its ids, which Spark broadcasts while they are few.
+    picked = known.select("doc_id", "lang").join(sizes, F.col("lang") == F.col("of")).filter(place * F.col("n") < per_language)
+    sample = known.join(stored(picked.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
