@@ -12,8 +12,8 @@ from faultline.catalog.standins import SCHEMA, table
 from faultline.functions import names
 from faultline.operators import (clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation)
 from faultline.plans.predict import predict_rows
-from faultline.plans.train import sized, train_rows
-from faultline.session import durable
+from faultline.plans.train import train_rows
+from faultline.session import durable, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,15 @@ def _lineitem(spark, sf_dir):
 
 
 def _facts(spark, sf_dir):
-    return validation.file_facts(validation.chunk_facts(standins.records(_lineitem(spark, sf_dir)), SCHEMA))
+    records = standins.records(_lineitem(spark, sf_dir))
+    return validation.with_blank_extras(validation.file_facts(validation.chunk_facts(records, SCHEMA)), records, SCHEMA)
+
+
+def _facts_after_header(spark, sf_dir):
+    """Of the files whose header is accepted."""
+    headers = standins.headers(_lineitem(spark, sf_dir))
+    passed = headers.where(validation.header_reason(F.col("header"), SCHEMA, "training").isNull()).select("file")
+    return _facts(spark, sf_dir).join(passed, "file", "left_semi")
 
 
 def _verdicts(spark, sf_dir):
@@ -90,7 +98,7 @@ def header_check_prediction(spark, sf_dir):
 
 @query
 def dtype_first_error(spark, sf_dir):
-    facts = _facts(spark, sf_dir).join(standins.files(_lineitem(spark, sf_dir)), "file").where(~F.col("defect").isin(3, 4, 5, 6))
+    facts = _facts_after_header(spark, sf_dir)
     return facts.where(F.col("error").isNotNull()).select(
         "file", F.col("error.row_num").alias("row_num"), F.col("error.position").alias("position"), F.col("error.text").alias("text")
     )
@@ -98,7 +106,7 @@ def dtype_first_error(spark, sf_dir):
 
 @query
 def null_columns_check(spark, sf_dir):
-    facts = _facts(spark, sf_dir).join(standins.files(_lineitem(spark, sf_dir)), "file").where(~F.col("defect").isin(3, 4, 5, 6, 9))
+    facts = _facts_after_header(spark, sf_dir).where(F.col("n_rows") > 0)
     return facts.select("file", validation.blank_columns_reason(SCHEMA, "training").alias("reason"))
 
 
@@ -320,14 +328,12 @@ def assign_fixed_centers(spark, sf_dir):
 
 
 def _stored_vectors(spark, sf_dir):
-    rows = standins.vectors(table(spark, sf_dir, "embeddings"))
-    n, width = rows.agg(F.count("*"), F.max(F.size("sensors"))).first()
-    return sized(rows, n, width)
+    return stored(standins.vectors(table(spark, sf_dir, "embeddings")))
 
 
 @query
 def kmeans_clusters(spark, sf_dir):
-    rows = _stored_vectors(spark, sf_dir).persist()
+    rows = _stored_vectors(spark, sf_dir)
     return clustering.assign(clustering.fit(rows), rows).select(F.col("row_key").alias("vec_id"), "cluster")
 
 
@@ -374,7 +380,7 @@ def metric_per_cluster(spark, sf_dir):
     rows = _lineitem(spark, sf_dir).groupBy(F.col("l_orderkey").alias("cluster")).agg(
         F.min("l_returnflag").alias("low"), F.max("l_returnflag").alias("high")
     )
-    return rows.select("cluster", F.when(F.col("low") == F.col("high"), "accuracy").otherwise("auc").alias("metric"))
+    return rows.select("cluster", metrics.metric_name(F.col("low"), F.col("high")).alias("metric"))
 
 
 # -- models -------------------------------------------------------------------------------------------------
@@ -391,9 +397,6 @@ for _name in models.CANDIDATES:
     QUERIES[f"train_{_name.lower()}"] = partial(_train_one, _name)
 
 VECTOR_NAMES = [f"sensor_{i}" for i in range(1, 65)]
-QUICK = ["RandomForest", "LogisticRegression", "DecisionTree"]
-
-
 @query
 def best_model_per_cluster(spark, sf_dir):
     rows = durable(standins.vectors(table(spark, sf_dir, "embeddings")))
@@ -403,9 +406,9 @@ def best_model_per_cluster(spark, sf_dir):
 
 @query
 def predict_end_to_end(spark, sf_dir):
-    """Gaps filled from neighbours, clusters, the best of three candidates each, then a scored batch."""
+    """Gaps filled from neighbours, clusters, the best of all candidates each, then a scored batch."""
     rows = durable(standins.gappy_vectors(table(spark, sf_dir, "embeddings"), step=17))
-    chain = train_rows(rows, VECTOR_NAMES, candidates=QUICK, parallelism=8)
+    chain = train_rows(rows, VECTOR_NAMES, parallelism=8)
     return predict_rows(rows.select(F.col("row_key").cast("string").alias("wafer_id"), "sensors"), chain)
 
 

@@ -20,6 +20,12 @@ PLAIN_INTEGER = r"\A[+-]?[0-9]++\z"
 PLAIN_FLOAT = r"\A[+-]?[0-9]++(?:\.[0-9]*+)?(?:[eE][+-]?[0-9]++)?\z"
 NON_BLANK_PATTERN = r"(?U)[^\s\x1c-\x1f]"
 
+# Texts that a CSV read takes for a missing value, besides blanks.
+MISSING_TEXTS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+
 # JSON type name -> checked family; other names are not checked.
 CHECKED_TYPES = {"float": "float", "double": "float", "int": "integer", "integer": "integer"}
 
@@ -63,6 +69,17 @@ def missing_to_null(cell: Column) -> Column:
     return F.nullif(cell, F.lit("?"))
 
 
+def is_missing(cell: Column) -> Column:
+    """Blank, a spelling of a missing value, or the ``?`` marker."""
+    return is_blank(cell) | cell.isin(*MISSING_TEXTS, "?") | (F.lower(cell) == "nan")
+
+
+def to_finite(cell: Column) -> Column:
+    """``to_double`` for a sensor: an infinite reading is no reading, hence NULL."""
+    value = to_double(cell)
+    return F.when(F.abs(value) != float("inf"), value)
+
+
 def to_double(cell: Column) -> Column:
     """Numeric value of a text or number, NULL when unparseable; NaN is a missing value, hence NULL."""
     value = cell.try_cast("double")

@@ -82,7 +82,7 @@ def _with_letters(texts: list[str | None]) -> list[str]:
 def prototypes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """lang and its prototype (an array of longs), learned from rows that are not held out and have a language."""
     ship_package(docs.sparkSession)
-    readable = ~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    readable = ~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
     known = docs.filter(readable).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / (1 << 30)
@@ -113,7 +113,8 @@ def identified(docs: DataFrame, learn_from: DataFrame | None = None, id_col: str
     A null text, one without a letter, and any text when no language was learned, are ``und`` with score 0. Ties go to the first language
     by name; repeated rows are repeated, and no column but id and text is read for a prediction.
     """
-    learned = sorted((r.lang, r.prototype) for r in prototypes(docs if learn_from is None else learn_from, id_col, text_col, lang_col, per_language).collect())
+    found = prototypes(docs if learn_from is None else learn_from, id_col, text_col, lang_col, per_language).collect()
+    learned = sorted((r.lang, r.prototype) for r in found if any(r.prototype))
     names = [lang for lang, _ in learned]
     table = np.array([p for _, p in learned], dtype=np.float64).reshape(len(names), DIMENSIONS)
     table = (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)

@@ -12,30 +12,41 @@ from faultline.functions import literal_arrays as constants
 CLUSTERS = 3
 MAX_CLUSTERS = 10
 SEED = 42
+STARTS = 10
+ITERATIONS = 300
 
 
 def with_features(df: DataFrame, array: str = "sensors", name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(array))
 
 
-def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors") -> KMeansModel:
-    """k-means on ``array``; the frame is read once per iteration, so pass a stored or cached one."""
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(with_features(df.select(array), array))
+def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors", starts: int = STARTS, iterations: int = ITERATIONS) -> KMeansModel:
+    """k-means on ``array``: the cheapest of ``starts`` fits, each from its own seed and of at most ``iterations`` rounds."""
+    frame = with_features(df.select(array), array).select("features").persist()
+    try:
+        return _cheapest(frame, k, seed, starts, iterations)
+    finally:
+        frame.unpersist()
+
+
+def _cheapest(frame: DataFrame, k: int, seed: int, starts: int, iterations: int) -> KMeansModel:
+    fits = (KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(frame) for i in range(starts))
+    return min(fits, key=lambda model: model.summary.trainingCost)
 
 
 def assign(model: KMeansModel, df: DataFrame, array: str = "sensors") -> DataFrame:
     return model.transform(with_features(df, array)).drop("features")
 
 
-def wcss_sweep(df: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED, array: str = "sensors") -> list[tuple[int, float]]:
-    """Within-cluster sum of squares for k = 1..max_clusters."""
+def wcss_sweep(df: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED, array: str = "sensors",
+               starts: int = STARTS, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
+    """Within-cluster sum of squares for k = 1..max_clusters, each the cheapest of several starts."""
     frame = with_features(df.select(array), array).select("features").persist()
     try:
         # Spark's k-means starts at two clusters; one cluster has a closed form.
         sweep = [(1, float(wcss_of_one(df, array).first()["wcss"]))]
         for k in range(2, max_clusters + 1):
-            model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(frame)
-            sweep.append((k, float(model.summary.trainingCost)))
+            sweep.append((k, float(_cheapest(frame, k, seed, starts, iterations).summary.trainingCost)))
         return sweep
     finally:
         frame.unpersist()

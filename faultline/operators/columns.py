@@ -33,7 +33,7 @@ def feature_columns(columns: list[str], label_options=LABEL_COLUMNS) -> tuple[li
     """Names of the features and of the label: the first label option present; wafer ids are no features."""
     label = next((c for c in label_options if c in columns), None)
     if label is None:
-        raise KeyError(f"None of the label columns {list(label_options)} found in DataFrame. Columns are: {columns}")
+        raise KeyError(f"no label: the table has none of {', '.join(label_options)} among its {len(columns)} columns")
     return [c for c in columns if c != label and c.strip().lower() != "wafer" and c not in NOT_FEATURES], label
 
 
@@ -113,7 +113,7 @@ def text_profile(df: DataFrame, array: str = "cells") -> DataFrame:
     """
     text = literals.missing_to_null(F.col("value"))
     number = literals.to_double(text)
-    missing = literals.is_blank(text) | F.lower(text).isin("nan")
+    missing = literals.is_missing(text)
     present = F.coalesce(~missing, F.lit(False))
     return (
         df.select(F.posexplode(array).alias("position", "value"))
@@ -122,17 +122,15 @@ def text_profile(df: DataFrame, array: str = "cells") -> DataFrame:
             F.count_if(present).alias("n"),
             F.count_if(F.col("value") == "?").alias("n_markers"),
             F.count_if(present & number.isNull()).alias("n_text"),
-            F.avg(number).alias("mean"),
+            F.avg(literals.to_finite(text)).alias("mean"),
         )
         .select("*", ((F.col("n_markers") == 0) & (F.col("n_text") == 0)).alias("numeric"), (F.col("n_text") == 0).alias("converts"))
     )
 
 
 def clean_text(array: Column) -> Column:
-    """Blank, ``nan`` and ``?`` elements become NULL."""
-    return F.transform(
-        array, lambda c: F.when(~(literals.is_blank(c) | F.lower(c).isin("nan")), literals.missing_to_null(c))
-    )
+    """Elements that stand for a missing value become NULL: blanks, ``?`` and the usual spellings."""
+    return F.transform(array, lambda c: F.when(~literals.is_missing(c), c))
 
 
 def prepare_batch(df: DataFrame, columns: list[str], array: str = "cells") -> tuple[DataFrame, list[str], list[str]]:
@@ -152,10 +150,10 @@ def prepare_batch(df: DataFrame, columns: list[str], array: str = "cells") -> tu
     numbers = [p for p in kept if profile[p]["converts"]]
     texts = [p for p in kept if not profile[p]["converts"]]
     clean = clean_text(F.col(array))
-    means = [float(fills[p]) if p in fills else profile[p]["mean"] for p in numbers]
+    means = [float(fills[p]) if p in fills else profile[p]["mean"] or 0.0 for p in numbers]  # 0 if no value is finite
     filled = df.select(
         *[c for c in df.columns if c != array],
-        fill(F.transform(project(clean, numbers), literals.to_double), means).alias("sensors"),
+        fill(F.transform(project(clean, numbers), literals.to_finite), means).alias("sensors"),
         F.zip_with(
             project(clean, texts), F.lit([fills.get(p, UNKNOWN) for p in texts]).cast("array<string>"), lambda x, v: F.coalesce(x, v)
         ).alias("texts"),

@@ -37,16 +37,22 @@ def coerce(col: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DoubleType):
         return literals.to_double(col)
     if isinstance(kind, T.LongType):
-        return literals.to_double(col).try_cast("bigint")
+        return _whole(col)
     if isinstance(kind, T.BooleanType):
         return col.try_cast("boolean")
     return col.cast("string")
 
 
+def _whole(col: Column) -> Column:
+    """Integer text is read exactly; only other numbers go through a double. NULL beyond 64 bits."""
+    value = literals.to_double(col)
+    return F.coalesce(col.try_cast("bigint"), F.when(F.abs(value) < 2.0**63, value.cast("bigint")))
+
+
 def breaks_integer(col: Column) -> Column:
-    """True for a number that an integer column cannot hold."""
+    """True for a number that an integer column cannot hold: a fraction, or one beyond 64 bits."""
     value = literals.to_double(col)
-    return F.coalesce((value != F.floor(value)) | (F.abs(value) == float("inf")), F.lit(False))
+    return F.coalesce((value != F.floor(value)) | _whole(col).isNull(), F.lit(False)) & value.isNotNull()
 
 
 def without_files(rows: DataFrame, defect: Column, file: str = "source_file") -> DataFrame:

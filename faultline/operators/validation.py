@@ -13,13 +13,10 @@ FILE_NAME_PATTERN = r"^wafer_\d{8}_\d{6}\.csv$"
 LABEL_HEADERS = ("output", "good/bad")
 UNNAMED_HEADERS = ("", "unnamed: 0")
 
-# Positions past the schema are tracked in one 63-bit mask.
-EXTRA_CELLS = 63
-
 
 def check_mode(mode: str) -> None:
     if mode not in MODES:
-        raise ValueError(f"Invalid mode: {mode}. Must be 'training' or 'prediction'.")
+        raise ValueError(f"unknown mode {mode!r}, known are {', '.join(MODES)}")
 
 
 # -- rules on the file name and the header ------------------------------------------------------------------
@@ -98,21 +95,12 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
     collapse map-side into one row.
     """
     width = len(schema.columns)
-    typed = next((i for i, kind in enumerate(schema.types) if kind in literals.CHECKED_TYPES), 0)
     cells = F.col("cells")
     failure = F.col("failure") if "failure" in records.columns else F.lit(None).cast("string")
     opened = F.col("open") if "open" in records.columns else F.lit(False)
     plain = F.col("plain") if "plain" in records.columns else F.lit(False)
-    header_like = names.normalize(F.get(cells, F.lit(typed))) == names.normalize_name(schema.names[typed])
+    header_like = _header_like(cells, schema)
     low, high = _filled_span(cells, width)
-    extras = F.aggregate(
-        F.transform(
-            F.slice(cells, width + 1, EXTRA_CELLS),
-            lambda c, i: F.when(literals.is_blank(c), F.lit(0).cast("bigint")).otherwise(_bit(i)),
-        ),
-        F.lit(0).cast("bigint"),
-        lambda mask, bit: mask.bitwiseOR(bit),
-    )
     checked = records.select(
         "file",
         "chunk",
@@ -122,7 +110,6 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
         F.when(plain, F.lit(0)).otherwise(first_bad_position(cells, schema)).alias("position"),
         F.when(plain, F.lit(1)).otherwise(low).alias("low"),
         F.when(plain, F.lit(width)).otherwise(high).alias("high"),
-        F.when(~plain & (F.size(cells) > width), extras).otherwise(F.lit(0)).cast("bigint").alias("extras"),
         failure.alias("failure"),
         opened.alias("open"),
         "cells",
@@ -139,13 +126,35 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
         F.min("low").alias("low"),
         F.max("high").alias("high"),
         F.min(F.greatest(F.col("n_cells"), F.lit(width))).alias("narrowest"),
-        F.bit_or("extras").alias("extras"),
         F.max("open").alias("open"),
     )
 
 
-def _bit(i: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), i.cast("int"))
+def _header_like(cells: Column, schema: SensorSchema) -> Column:
+    """Whether a line may be the header: by its first typed column's name, any label spelling, or else its first cell."""
+    typed = next((i for i, kind in enumerate(schema.types) if kind in literals.CHECKED_TYPES), None)
+    if typed is None:
+        return F.lower(F.get(cells, F.lit(0))).isin(*UNNAMED_HEADERS) | (names.normalize(F.get(cells, F.lit(0))) == names.normalize_name(schema.names[0]))
+    spellings = {names.normalize_name(schema.names[typed])}
+    if typed == len(schema.columns) - 1:
+        spellings |= set(LABEL_HEADERS)
+    return names.normalize(F.get(cells, F.lit(typed))).isin(*sorted(spellings))
+
+
+def with_blank_extras(facts: DataFrame, records: DataFrame, schema: SensorSchema) -> DataFrame:
+    """``file_facts`` with ``blank_extra``: every row is longer than the schema, and some cell past it is blank in all rows.
+
+    Filled positions past the schema are counted per file, whatever their number; only over-long lines take part, and their positions
+    combine before they are shuffled.
+    """
+    width = len(schema.columns)
+    over = F.col("narrowest") - width
+    longer = facts.where(over > 0).select("file", over.alias("over"))
+    beyond = records.where(F.size("cells") > width).select("file", F.posexplode(F.slice("cells", F.lit(width + 1), F.size("cells"))).alias("place", "cell"))
+    filled = beyond.where(~literals.is_blank(F.col("cell"))).groupBy("file", "place").agg(F.count("*").alias("n"))
+    counted = filled.join(longer, "file").where(F.col("place") < F.col("over")).groupBy("file").agg(F.count("*").alias("n_filled"))
+    blank = (over > 0) & (F.coalesce("n_filled", F.lit(0)) < over)
+    return facts.join(counted, "file", "left").withColumn("blank_extra", F.coalesce(blank, F.lit(False))).drop("n_filled")
 
 
 def file_facts(chunks: DataFrame) -> DataFrame:
@@ -173,7 +182,6 @@ def file_facts(chunks: DataFrame) -> DataFrame:
         "low",
         "high",
         "narrowest",
-        "extras",
         F.when(
             F.col("error").isNotNull(),
             F.struct(row_number.alias("row_num"), F.col("error.position").alias("position"), F.col("error.text").alias("text")),
@@ -186,7 +194,6 @@ def file_facts(chunks: DataFrame) -> DataFrame:
         F.min(F.when(data, F.col("low"))).alias("low"),
         F.max(F.when(data, F.col("high"))).alias("high"),
         F.min(F.when(data, F.col("narrowest"))).alias("narrowest"),
-        F.bit_or(F.when(data, F.col("extras")).otherwise(F.lit(0))).alias("extras"),
     )
 
 
@@ -207,17 +214,12 @@ def cell_reason(header: Column, schema: SensorSchema) -> Column:
 
 
 def blank_columns_reason(schema: SensorSchema, mode: str) -> Column:
-    """All-blank columns number at least the feature columns: at most one filled column in training, none in
+    """From ``with_blank_extras``. All-blank columns number at least the feature columns: at most one filled column in training, none in
     prediction. An all-blank column past the header has no name to report, which is a failure of its own."""
     check_mode(mode)
-    width = len(schema.columns)
-    over = F.least(F.col("narrowest") - width, F.lit(EXTRA_CELLS))
-    full = F.when(over >= EXTRA_CELLS, F.lit(2**EXTRA_CELLS - 1)).otherwise(_bit(over) - 1)
     none_filled = F.col("low").isNull()
     too_few = none_filled | (F.col("low") == F.col("high")) if mode == "training" else none_filled
-    return F.when(
-        (over > 0) & (F.col("extras").bitwiseAND(full) != full), "Processing error: list index out of range"
-    ).when(too_few, "All feature columns contain only null values")
+    return F.when(F.col("blank_extra"), "Processing error: list index out of range").when(too_few, "All feature columns contain only null values")
 
 
 def verdicts(files: DataFrame, headers: DataFrame, facts: DataFrame, schema: SensorSchema, mode: str,
@@ -250,7 +252,7 @@ def target_name(file: Column, sha256: Column) -> Column:
 def summary(judged: DataFrame) -> DataFrame:
     total = F.count("*")
     good = F.count_if(F.col("verdict") == "good")
-    good_pct = 100 * good / total
+    good_pct = F.try_divide(100 * good, total)  # NULL for an empty folder
     return judged.agg(
         total.alias("total"),
         good.alias("good"),

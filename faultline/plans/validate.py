@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faultline.operators import validation
 from faultline.schema import SensorSchema
-from faultline.session import durable, ship_package
+from faultline.session import ship_package, stored
 from faultline.sources import folder as drop
 
 
@@ -17,29 +17,34 @@ def validate_folder(spark: SparkSession, folder: str, schema: SensorSchema, mode
                     pattern: str = validation.FILE_NAME_PATTERN, extension: str = ".csv") -> DataFrame:
     """Verdict table ``(file, sha256, spanning, reason, verdict, target_name)``, one row per file.
 
-    ``spanning`` marks files in which a quoted field contains a line break.
+    ``spanning`` marks files in which a quoted field contains a line break. The table is stored, so that later steps read verdicts
+    and hashes instead of the folder.
     """
     validation.check_mode(mode)
-    chunks = durable(validation.chunk_facts(drop.line_records(drop.lines(spark, folder, extension), schema.types), schema))
+    lines = drop.line_records(drop.lines(spark, folder, extension), schema.types)
+    chunks = stored(validation.chunk_facts(lines, schema))
     headers = drop.digests(spark, folder, extension).withColumn("spanning", F.lit(False))
+    records = lines.select("file", "cells")
     spanning = chunks.where("open").select("file").distinct()
     if not spanning.isEmpty():
-        records = drop.spanning_records(spark, folder, spanning, extension)
-        first = records.where(F.col("line_id") == 0).select("file", F.col("cells").alias("spanning_header"))
+        whole = drop.spanning_records(spark, folder, spanning, extension)
+        first = whole.where(F.col("line_id") == 0).select("file", F.col("cells").alias("spanning_header"))
         headers = headers.join(first, "file", "left").select(
             "file",
             "sha256",
             F.coalesce("spanning_header", "header").alias("header"),
             F.col("spanning_header").isNotNull().alias("spanning"),
         )
-        chunks = chunks.join(spanning, "file", "left_anti").unionByName(validation.chunk_facts(records, schema))
-    judged = validation.verdicts(
-        drop.list_files(spark, folder, extension), headers, validation.file_facts(chunks), schema, mode, pattern
-    )
-    return judged.withColumn(
+        chunks = chunks.join(spanning, "file", "left_anti").unionByName(validation.chunk_facts(whole, schema))
+        records = records.join(spanning, "file", "left_anti").unionByName(whole.select("file", "cells"))
+    facts = validation.file_facts(chunks)
+    longer = facts.where(F.col("narrowest") > len(schema.columns)).select("file")
+    facts = validation.with_blank_extras(facts, records.join(longer, "file", "left_semi"), schema)
+    judged = validation.verdicts(drop.list_files(spark, folder, extension), headers, facts, schema, mode, pattern)
+    return stored(judged.withColumn(
         "target_name",
         F.when(F.col("verdict") == "good", validation.target_name(F.col("file"), F.col("sha256"))),
-    )
+    ))
 
 
 def write_verdicts(judged: DataFrame, path: str, mode: str) -> None:

@@ -12,6 +12,8 @@ from faultline.operators import loading
 from faultline.schema import SensorSchema
 
 REST = "unread_text"
+#: How many cells beyond the declared ones the CSV reader makes room for in a row.
+MORE_COLUMNS = 1 << 20
 
 
 def read_rows(spark: SparkSession, folder: str, schema: SensorSchema, style: str = "clean", extension: str = ".csv",
@@ -31,7 +33,7 @@ def read_rows(spark: SparkSession, folder: str, schema: SensorSchema, style: str
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("maxColumns", len(columns) + 20_000)
+        .option("maxColumns", len(columns) + MORE_COLUMNS)
         .option("maxCharsPerColumn", -1)
         .option("pathGlobFilter", f"*{extension}")
         .csv(folder)

@@ -104,3 +104,12 @@ def test_append_is_idempotent(spark, tmp_path):
 
 def test_predictions_name():
     assert tables.predictions_name("/in/batch_7.csv", datetime(2024, 5, 6, 7, 8, 9)) == "predictions_batch_7_20240506_070809.csv"
+
+
+def test_integers_are_exact(spark):
+    texts = ["9007199254740993", "-9223372036854775808", "2.0", "2.5", "9223372036854775808", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        loading.coerce(F.col("t"), T.LongType()).alias("v"), loading.breaks_integer(F.col("t")).alias("b")
+    ).collect()
+    assert [r["v"] for r in rows] == [9007199254740993, -(2**63), 2, 2, None, None, None]
+    assert [r["b"] for r in rows] == [False, False, False, True, True, False, False]

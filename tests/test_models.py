@@ -175,3 +175,43 @@ def test_one_class_cluster(spark):
     scored = scoring.predict_rows(rows.select(F.col("row_key").cast("string").alias("wafer_id"), "sensors"), chain)
     sure = {int(r["wafer_id"]): r["prob_good"] for r in scored.collect() if int(r["wafer_id"]) % 3 < 2}
     assert all(p == pytest.approx(i % 3, abs=0.05) for i, p in sure.items())
+
+
+def test_holdout_only_chooses(spark):
+    """The model in use has learned from every row, and readings that are not finite are gaps."""
+    x, y = blobs(150)
+    wide = spark.createDataFrame([(f"w{i}", *[float(v) for v in r], int(t)) for i, (r, t) in enumerate(zip(x, y))], "wafer string, a double, b double, c double, d double, output int")
+    wide = wide.withColumn("a", F.when(F.col("wafer") == "w7", float("inf")).otherwise(F.col("a")))
+    chain = train(wide, imputer="mean", candidates=["DecisionTree"])
+    assert {s["evaluated_on"] for s in chain.scores} == {"holdout"}
+    scored = scoring.predict(wide, chain)
+    right = scored.join(wide, scored["wafer_id"] == wide["wafer"]).where(F.col("prediction") == F.col("output")).count()
+    assert right >= 145
+
+
+def test_a_cluster_without_a_second_side(spark):
+    rows = spark.createDataFrame([(i, [float(i > 3) * 50 + i * (i < 3)], i % 2) for i in range(5)], "row_key bigint, sensors array<double>, label int")
+    chain = train_rows(rows, ["a"], clusters=2, imputer="mean", candidates=["DecisionTree"])
+    assert {s["cluster"]: s["evaluated_on"] for s in chain.scores}.keys() == {0, 1}
+    assert sorted(s["evaluated_on"] for s in chain.scores) == ["holdout", "train"]
+
+
+def test_summary_of_an_empty_batch(spark):
+    empty = reporting.batch_summary(spark.createDataFrame([], "prediction int, confidence double")).first()
+    assert (empty["total"], empty["good_pct"], empty["bad_pct"]) == (0, None, None)
+
+
+def test_csv_in_and_out(spark, tmp_path):
+    x, y = blobs(90)
+    names = ["Sensor - 1", "Sensor - 2", "Sensor - 3", "Sensor - 4"]
+    wide = spark.createDataFrame([(f"w{i:02}", *[float(v) for v in r], int(t)) for i, (r, t) in enumerate(zip(x, y))], "wafer string, sensor_1 double, sensor_2 double, sensor_3 double, sensor_4 double, output int")
+    chain = train(wide, imputer="mean", candidates=["DecisionTree"])
+    lines = [",".join(["Wafer", *names])] + [",".join([f"w{i:02}", *(str(v) for v in r)]) for i, r in enumerate(x)]
+    lines[3] = "w02,NA,?,," + str(x[2][3])
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    want = {r["wafer_id"]: r["prediction"] for r in scoring.predict(wide.where("wafer != 'w02'"), chain).collect()}
+    for batch_filled in (False, True):
+        path = scoring.predict_csv(spark, str(tmp_path / "in.csv"), chain, str(tmp_path / f"out{batch_filled}"), batch_filled=batch_filled)
+        got = spark.read.option("header", True).csv(path).collect()
+        assert [r["wafer_id"] for r in got] == [f"w{i:02}" for i in range(90)]
+        assert all(int(r["prediction"]) == want[r["wafer_id"]] for r in got if r["wafer_id"] in want)

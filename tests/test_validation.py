@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from faultline.functions import literals
 from faultline.operators import validation
 from faultline.plans.validate import route_files, validate_folder, write_verdicts
-from faultline.schema import training_schema
+from faultline.schema import SensorSchema, training_schema
 
 SCHEMA = training_schema(5)
 HEAD = "wafer,Sensor - 1,Sensor - 2,Sensor - 3,Output\n"
@@ -48,6 +48,8 @@ TRAINING = {
     "bad_no_rows": (HEAD, "File contains no data rows"),
     "bad_all_null": (HEAD + ",,,,\n , ,,,\n\n", "All feature columns contain only null values"),
     "bad_trailing_comma": (HEAD + "w1,1,2,3,1,\nw2,1,2,3,1,\n", BAD + "list index out of range"),
+    "bad_far_blank": (HEAD + ("w1,1,2,3,1" + ",x" * 70 + ",\n") * 2, BAD + "list index out of range"),
+    "ok_far_filled": (HEAD + "w1,1,2,3,1" + ",x" * 70 + ",\nw2,1,2,3,1" + ", " * 70 + ",y\n", None),
     "ok_partly_trailing": (HEAD + "w1,1,2,3,1,\nw2,1,2,3,1,9\n", None),
     "bad_giant_cell": (HEAD + "w1,1,2,3,1\n" + "x" * 140_000 + ",1,2,3,1\n", BAD + "field larger than field limit (131072)"),
     "quoted_header": ('"wafer","Sensor - 1","Sensor - 2","Sensor - 3","Output"\nw1,1,2,q,1\n', "Row 2: Column 'Sensor - 3' expects float, got 'q'"),
@@ -179,5 +181,33 @@ def test_full_width_schema(spark, tmp_path):
 
 
 def test_unknown_mode(spark):
-    with pytest.raises(ValueError, match="Invalid mode"):
+    with pytest.raises(ValueError, match="unknown mode"):
         validate_folder(spark, "/nowhere", SCHEMA, "both")
+
+
+def judged_once(spark, folder, schema, content, mode="training"):
+    (folder / "wafer_01012025_120000.csv").write_text(content)
+    return validate_folder(spark, str(folder), schema, mode).first()["reason"]
+
+
+def test_label_spelling_of_the_only_typed_column(spark, tmp_path):
+    schema = SensorSchema((("wafer", "varchar"), ("Sensor - 1", "varchar"), ("Output", "Integer")))
+    assert judged_once(spark, tmp_path, schema, "wafer,Sensor - 1,Good/Bad\nw1,a,1\n") is None
+
+
+def test_header_without_typed_columns_is_no_data(spark, tmp_path):
+    schema = SensorSchema((("wafer", "varchar"), ("Sensor - 1", "varchar"), ("Output", "varchar")))
+    content = ",Sensor - 1,Output\n,,\n,,\n"
+    assert judged_once(spark, tmp_path, schema, content) == "All feature columns contain only null values"
+
+
+def test_summary_of_an_empty_folder(spark):
+    judged = spark.createDataFrame([], "file string, verdict string")
+    assert validation.summary(judged).first().asDict() == {"total": 0, "good": 0, "good_pct": None, "bad": 0, "bad_pct": None}
+
+
+def test_verdicts_are_stored(spark, tmp_path):
+    (tmp_path / "wafer_01012025_120000.csv").write_text(HEAD + "w1,1,2,3,1\n")
+    judged = validate_folder(spark, str(tmp_path), SCHEMA)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "binaryFile" not in plan and "text" not in plan.split("Relation")[0]
