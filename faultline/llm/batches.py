@@ -26,6 +26,11 @@ def batched(docs: DataFrame, id_col: str, text_col: str, docs_per_batch: int = D
     return docs.select(batch.alias("batch"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), parts
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """A batch's rows in an order that does not depend on their arrival, so that a row's place names it in every step."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def texts_of(table: pa.Table) -> list[bytes]:
     """The texts as UTF-8."""
     return [text.as_buffer().to_pybytes() for chunk in table.column("text").chunks for text in chunk]

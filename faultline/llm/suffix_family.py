@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faultline.llm.batches import answers, batched, by_batch, mixed_bits, part_of, rows_by_part, runs, texts_of, unpacked
+from faultline.llm.batches import answers, batched, by_batch, in_order, mixed_bits, part_of, rows_by_part, runs, texts_of, unpacked
 from faultline.session import ship_package
 
 WINDOW = 200
@@ -194,7 +194,7 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def sample(table: pa.Table) -> pa.Table:
         grams, contexts, places = [], [], []
-        for doc, text in enumerate(texts_of(table)):
+        for doc, text in enumerate(texts_of(in_order(table))):
             for low in range(0, len(text) - WINDOW + 1, STARTS_AT_ONCE):
                 data = np.frombuffer(text, dtype=np.uint8)[low : low + STARTS_AT_ONCE + WINDOW - 1]
                 gram, context, first, starts, offset = anchors(data)
@@ -244,7 +244,7 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         first = np.cumsum(count) - count
         sent = np.flatnonzero(code & SENT)
         sent = sent[np.argsort(part_of(gram[sent], parts), kind="stable")]
-        texts, spots = texts_of(table), place[first[sent]]
+        texts, spots = texts_of(in_order(table)), place[first[sent]]
         bodies = [texts[p["doc"]][int(p["start"]) : int(p["start"]) + int(p["starts"]) + WINDOW - 1] for p in spots]
         part = part_of(gram[sent], parts)
         columns = {"gram": gram[sent], "settled": code[sent] & SETTLED, "places": spots}
@@ -280,7 +280,7 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             yield from copies(pa.Table.from_batches([batch])).to_batches()
 
     def cut(table: pa.Table, found: pa.Table) -> pa.Table:
-        ranges = unpacked(found, "ranges", RANGE)[0]
+        table, ranges = in_order(table), unpacked(found, "ranges", RANGE)[0]
         ranges = ranges[np.argsort(ranges["doc"], kind="stable")]
         ids, texts, rows = table.column("doc_id").to_pylist(), texts_of(table), []
         edges = np.searchsorted(ranges["doc"], np.arange(len(texts) + 1))

@@ -88,3 +88,13 @@ def test_every_window_has_one_anchor_by_content():
     places = np.repeat(first + offset, starts)
     n = len(data) - WIDTH + 1
     assert np.array_equal(places[:n], places[-n:] - (len(twice) - len(data)))
+
+
+def test_rows_keep_their_places_whatever_their_arrival():
+    import pyarrow as pa
+
+    from faultline.llm.batches import in_order
+
+    rows = [(3, "b"), (1, "z"), (None, "n"), (3, "a"), (1, "z")]
+    tables = [pa.table({"doc_id": pa.array([i for i, _ in some], pa.int64()), "text": [t for _, t in some]}) for some in (rows, rows[::-1], sorted(rows, key=repr))]
+    assert len({str(in_order(t).to_pylist()) for t in tables}) == 1
