@@ -270,3 +270,28 @@ WITH {SCORED}, predicted AS ({ALL_PREDICTIONS})
 SELECT count(*) AS total, count(*) FILTER (prediction = 1) AS good, round(100.0 * count(*) FILTER (prediction = 1) / count(*), 1) AS good_pct,
   count(*) FILTER (prediction <> 1) AS bad, round(100.0 * count(*) FILTER (prediction <> 1) / count(*), 1) AS bad_pct,
   round(avg(confidence) * 100, 1) AS mean_confidence_pct FROM predicted"""
+
+ORACLES["prediction_order"] = f"""
+WITH {SCORED}, predicted AS ({ALL_PREDICTIONS})
+SELECT wafer_id, row_number() OVER (ORDER BY wafer_id) - 1 AS place FROM predicted"""
+
+# -- the same files as lines, tables and exports, and what a fitted model must satisfy ------------------------
+
+ORACLES["raw_line_verdicts"] = ORACLES["file_verdicts"].replace("WITH ", """WITH lineitem AS (
+  SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS INTEGER) AS l_linenumber)
+  FROM main.lineitem), """, 1)
+ORACLES["append_twice"] = f"""
+SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 2 <> 0 THEN l_tax END AS l_tax, file AS source_file, sha256(CAST(l_orderkey AS VARCHAR)) AS sha256
+FROM (SELECT *, {FILE} AS file FROM lineitem)"""
+ORACLES["csv_round_trip"] = "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem"
+ORACLES["kmeans_consistent"] = "SELECT vec_id, true AS nearest, true AS centre_is_mean FROM embeddings"
+ORACLES["elbow_falls"] = "SELECT CAST(k AS INTEGER) AS k, true AS falls FROM range(2, 11) AS t(k)"
+ORACLES["train_knn"] = """
+WITH long AS (
+  SELECT vec_id, label, unnest(embedding)::DOUBLE AS value, unnest(range(64)) AS place FROM embeddings),
+scaled AS (
+  SELECT vec_id, label, place, (value - avg(value) OVER (PARTITION BY place)) / coalesce(nullif(stddev_pop(value) OVER (PARTITION BY place), 0), 1) AS value FROM long),
+v AS (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS label, list(value ORDER BY place) AS x FROM scaled GROUP BY ALL),
+ranked AS (
+  SELECT q.vec_id, q.label, d.label AS y, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.x, d.x), d.vec_id) AS nth FROM v q CROSS JOIN v d)
+SELECT vec_id, label, avg(y) AS probability, CAST(avg(y) > 0.5 AS INTEGER) AS prediction FROM ranked WHERE nth <= 5 GROUP BY vec_id, label"""

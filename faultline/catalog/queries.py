@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from faultline.catalog import standins
 from faultline.catalog.standins import SCHEMA, table
@@ -13,7 +14,8 @@ from faultline.functions import names
 from faultline.operators import (clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation)
 from faultline.plans.predict import predict_rows
 from faultline.plans.train import train_rows
-from faultline.session import durable, stored
+from faultline.session import durable, shared_folder, stored
+from faultline.sources import folder, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,6 +117,21 @@ def file_verdicts(spark, sf_dir):
     return _verdicts(spark, sf_dir).select("file", "verdict", "reason")
 
 
+@query
+def raw_line_verdicts(spark, sf_dir):
+    """The same files as text lines in several splits, every second cell quoted, through the line reader."""
+    in_file = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    items = _lineitem(spark, sf_dir).withColumn("l_linenumber", F.row_number().over(in_file))  # lines without gaps
+    quoted = F.transform("cells", lambda c, i: F.when(i % 2 == 1, F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c))
+    line = F.when(F.hash("file", "line_id") % 2 == 0, F.array_join(quoted, ",")).otherwise(F.array_join("cells", ","))
+    chunk = F.floor(F.col("line_id") / 3) * 1000  # three lines a split
+    lines = standins.records(items).select("file", chunk.cast("bigint").alias("chunk"), "line_id", line.alias("line"))
+    records = folder.line_records(lines, SCHEMA.types)
+    facts = validation.with_blank_extras(validation.file_facts(validation.chunk_facts(records, SCHEMA)), records, SCHEMA)
+    judged = validation.verdicts(standins.files(items).select("file"), standins.headers(items), facts, SCHEMA, "training")
+    return judged.select("file", "verdict", "reason")
+
+
 @query
 def validation_summary(spark, sf_dir):
     return validation.summary(_verdicts(spark, sf_dir))
@@ -283,6 +300,27 @@ def row_positions(spark, sf_dir):
                         F.sum("wafer_id").alias("total"))
 
 
+@query
+def append_twice(spark, sf_dir):
+    """A table in the shared folder: half of the files, then all of them with one column more; each file is there once."""
+    rows = _lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_tax", standins.file_name(F.col("l_orderkey")).alias("source_file"),
+        F.sha2(F.col("l_orderkey").cast("string"), 256).alias("sha256"))
+    path = f"{shared_folder(spark)}/appended-{uuid.uuid4().hex}"
+    tables.append_rows(rows.drop("l_tax").where(F.col("l_orderkey") % 2 == 0), path)
+    tables.append_rows(rows, path)
+    return tables.read_table(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "source_file", "sha256")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Exported as CSV and read again."""
+    rows = _lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    path = f"{shared_folder(spark)}/exported-{uuid.uuid4().hex}"
+    tables.export_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 # -- neighbours ---------------------------------------------------------------------------------------------
 
 
@@ -337,6 +375,27 @@ def kmeans_clusters(spark, sf_dir):
     return clustering.assign(clustering.fit(rows), rows).select(F.col("row_key").alias("vec_id"), "cluster")
 
 
+@query
+def kmeans_consistent(spark, sf_dir):
+    """Whether each vector is in the cluster of its nearest centre, and each centre is its members' mean."""
+    rows = _stored_vectors(spark, sf_dir)
+    model = clustering.fit(rows)
+    centres = [[float(x) for x in centre] for centre in model.clusterCenters()]
+    assigned = clustering.assign(model, rows).withColumn("centre", F.element_at(F.array(*[F.lit(c) for c in centres]), F.col("cluster") + 1))
+    own, best = clustering.square_distance(F.col("sensors"), F.col("centre")), F.least(*[clustering.square_distance(F.col("sensors"), F.lit(c)) for c in centres])
+    means = assigned.select("cluster", "centre", F.posexplode("sensors").alias("place", "value")).groupBy("cluster", "place").agg(
+        F.avg("value").alias("mean"), F.first(F.get("centre", F.col("place"))).alias("centre"))
+    met = means.groupBy("cluster").agg(F.bool_and(F.abs(F.col("mean") - F.col("centre")) < 1e-3).alias("centre_is_mean"))
+    return assigned.select(F.col("row_key").alias("vec_id"), "cluster", (own <= best + 1e-9).alias("nearest")).join(met, "cluster").select("vec_id", "nearest", "centre_is_mean")
+
+
+@query
+def elbow_falls(spark, sf_dir):
+    """For each number of clusters, whether its cost is no higher than that of one cluster less."""
+    sweep = clustering.wcss_sweep(_stored_vectors(spark, sf_dir))
+    return spark.createDataFrame([(k, cost <= before * 1.001) for (_, before), (k, cost) in zip(sweep, sweep[1:])], "k int, falls boolean")
+
+
 @query
 def elbow_wcss(spark, sf_dir):
     return clustering.sweep_table(spark, clustering.wcss_sweep(_stored_vectors(spark, sf_dir)))
@@ -397,6 +456,8 @@ for _name in models.CANDIDATES:
     QUERIES[f"train_{_name.lower()}"] = partial(_train_one, _name)
 
 VECTOR_NAMES = [f"sensor_{i}" for i in range(1, 65)]
+
+
 @query
 def best_model_per_cluster(spark, sf_dir):
     rows = durable(standins.vectors(table(spark, sf_dir, "embeddings")))
@@ -441,6 +502,13 @@ def prediction_sorted(spark, sf_dir):
     return reporting.sorted_by_wafer(_rounded(_all_predictions(spark, sf_dir)))
 
 
+@query
+def prediction_order(spark, sf_dir):
+    """The place of each row of the sorted predictions."""
+    rows = reporting.sorted_by_wafer(_all_predictions(spark, sf_dir)).select("wafer_id")
+    return cols.with_position(rows, "place")
+
+
 @query
 def prediction_summary(spark, sf_dir):
     return reporting.batch_summary(_all_predictions(spark, sf_dir))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faultline.functions import literal_arrays as constants, literals
+from faultline.session import stored
 
 # Label headers, in order of preference, and id headers of a prediction table.
 LABEL_COLUMNS = ("Output", "output", "Good/Bad", "goodbad")
@@ -50,10 +51,10 @@ def id_column(columns: list[str]) -> str | None:
 def with_position(df: DataFrame, name: str = "wafer_id") -> DataFrame:
     """Number the rows 0..n-1 in scan order: rows of earlier partitions plus the place in the own one.
 
-    Two passes over the scan; only one count per partition is shuffled.
+    The rows and their places are stored once, so that both uses of them agree; only one count per partition is shuffled.
     """
     local = F.monotonically_increasing_id()
-    placed = df.select("*", F.shiftright(local, 33).alias("_part"), local.bitwiseAND((1 << 33) - 1).alias("_place"))
+    placed = stored(df.select("*", F.shiftright(local, 33).alias("_part"), local.bitwiseAND((1 << 33) - 1).alias("_place")))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     # One row per partition of the scan, so the single-task running sum is small.
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
