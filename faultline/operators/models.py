@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import classification as ml
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -34,6 +35,8 @@ GBM_ROUNDS, GBM_RATE, GBM_DEPTH = 100, 0.1, 3
 LOGISTIC_ITERATIONS = 2000
 ADA_ROUNDS = 50
 SPLIT_BINS = 32
+FOLD_ROUNDS = 10  # rounds of boosting whose stumps are evaluated anew in each round
+NODE_MEMORY_MB = 1024  # memory of a pass over the nodes of deep trees; more means fewer passes
 VOTERS = 5
 FOURIER_FEATURES = 256
 
@@ -212,27 +215,54 @@ def _half_logit(ones: float, weight: float) -> float:
     return 0.5 * float(np.log(max(p, EPS)) - np.log(max(1 - p, EPS)))
 
 
+def _histograms(batches):
+    """Weight sums, in all and of label 1, per position and bin of the rows of one task."""
+    weight = ones = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bins = batch.column("bins").flatten().to_numpy().reshape(batch.num_rows, -1)
+        w, y = batch.column("weight").to_numpy(), batch.column("label").to_numpy()
+        width = bins.shape[1]
+        at = (bins + np.arange(width) * SPLIT_BINS).ravel()
+        if weight is None:
+            weight, ones = np.zeros(width * SPLIT_BINS), np.zeros(width * SPLIT_BINS)
+        weight += np.bincount(at, np.repeat(w, width), len(weight))
+        ones += np.bincount(at, np.repeat(w * y, width), len(weight))
+    if weight is not None:
+        used = np.flatnonzero(weight)
+        columns = [used // SPLIT_BINS, used % SPLIT_BINS, weight[used], ones[used]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["position", "bin", "w", "w1"])
+
+
 def _fit_ada(train: DataFrame) -> Fitted:
     """Real AdaBoost on depth-one trees: one aggregation over binned sensors per round.
 
-    Row weights are a closed form of the stumps so far, so a round's plan does not grow on the last one's and
-    there is no lineage to cut.
+    A task sums its rows' weights per position and bin before anything is shuffled. Row weights follow from the stumps so far; every
+    ``FOLD_ROUNDS`` rounds those are folded into a kept column, so a round evaluates few stumps per row.
     """
+    ship_package(train.sparkSession)
     points = _split_points(train)
     edges = constants.double_rows(points)
     bins = F.transform("sensors", lambda x, i: F.size(F.filter(F.get(edges, i), lambda edge: edge < x)))
-    frame = train.select("sensors", bins.alias("bins"), F.col("label").cast("double").alias("label")).persist()
+    frame = train.select("sensors", bins.alias("bins"), F.col("label").cast("double").alias("label"), F.lit(0.0).alias("done")).persist()
     sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
     stumps: list[list[float]] = []
+    folded = 0
     try:
         for _ in range(ADA_ROUNDS):
-            weight = F.exp(-sign * _half_log_odds(F.col("sensors"), stumps))
+            if len(stumps) - folded == FOLD_ROUNDS:
+                done = F.col("done") + _half_log_odds(F.col("sensors"), stumps[folded:])
+                older, frame = frame, frame.withColumn("done", done).persist()
+                frame.count()
+                older.unpersist()
+                folded = len(stumps)
+            weight = F.exp(-sign * (F.col("done") + _half_log_odds(F.col("sensors"), stumps[folded:])))
             cells = (
-                # The weight is taken before the explode, once per row.
                 frame.select("label", weight.alias("weight"), "bins")
-                .select("label", "weight", F.posexplode("bins").alias("position", "bin"))
+                .mapInArrow(_histograms, "position bigint, bin bigint, w double, w1 double")
                 .groupBy("position", "bin")
-                .agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("label")).alias("w1"))
+                .agg(F.sum("w").alias("w"), F.sum("w1").alias("w1"))
             )
             stump, error = _best_stump(cells.toPandas(), points)
             stumps.append(stump)
@@ -253,10 +283,10 @@ SCORERS = {"ml": _score_ml, "svm": _score_svm, "knn": _score_knn, "ada": _score_
 
 # Candidates in declared order, which decides ties.
 CANDIDATES: dict[str, Callable[[DataFrame], Fitted]] = {
-    "RandomForest": lambda train: _fit_ml(ml.RandomForestClassifier(numTrees=FOREST_TREES, maxDepth=TREE_DEPTH, featureSubsetStrategy="sqrt", seed=SEED))(train),
+    "RandomForest": lambda train: _fit_ml(ml.RandomForestClassifier(numTrees=FOREST_TREES, maxDepth=TREE_DEPTH, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=NODE_MEMORY_MB))(train),
     "XGBoost": lambda train: _fit_ml(ml.GBTClassifier(maxIter=XGB_ROUNDS, stepSize=XGB_RATE, maxDepth=XGB_DEPTH, seed=SEED))(train),
     "LogisticRegression": _fit_logistic,
-    "DecisionTree": lambda train: _fit_ml(ml.DecisionTreeClassifier(maxDepth=TREE_DEPTH, seed=SEED))(train),
+    "DecisionTree": lambda train: _fit_ml(ml.DecisionTreeClassifier(maxDepth=TREE_DEPTH, seed=SEED, maxMemoryInMB=NODE_MEMORY_MB))(train),
     "SVM": _fit_svm,
     "KNN": _fit_knn,
     "GradientBoosting": lambda train: _fit_ml(ml.GBTClassifier(maxIter=GBM_ROUNDS, stepSize=GBM_RATE, maxDepth=GBM_DEPTH, seed=SEED))(train),

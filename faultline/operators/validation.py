@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from faultline.functions import literal_arrays as constants, literals, names
 from faultline.schema import MODES, SensorSchema
 
+# The reason texts in this module, as the reports spell them.
 # Fixed value: the file-name pattern.
 FILE_NAME_PATTERN = r"^wafer_\d{8}_\d{6}\.csv$"
 # Accepted label headers, and headers that stand for an unnamed first column.

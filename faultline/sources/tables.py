@@ -82,5 +82,6 @@ def export_csv(df: DataFrame, folder: str) -> None:
 
 
 def predictions_name(input_path: str, now: datetime | None = None) -> str:
+    """Fixed format: the input's stem and a time stamp."""
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
     return f"predictions_{PurePosixPath(input_path).stem}_{stamp}.csv"
