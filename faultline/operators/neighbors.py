@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from faultline.functions import literal_arrays as constants
 from faultline.operators import columns as cols
-from faultline.session import durable, ship_package
+from faultline.session import ship_package, stored
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = (256, 2048)
@@ -226,7 +226,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
 
     donor_schema = T.StructType([T.StructField("donor", key_type), T.StructField("x", T.ArrayType(T.DoubleType())),
                                  T.StructField("cell", T.IntegerType()), T.StructField("distance", T.DoubleType())])
-    placed = durable(donors.mapInArrow(assigned, donor_schema))
+    placed = stored(donors.mapInArrow(assigned, donor_schema))
     n_missing = F.aggregate("x", F.lit(0), lambda n, v: n + v.isNull().cast("int"))
     per_cell = {
         r["cell"]: (r["n"], r["radius"], r["missing"])
@@ -257,7 +257,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
     query_schema = T.StructType([T.StructField("key", key_type), T.StructField("x", T.ArrayType(T.DoubleType())),
                                  T.StructField("home", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType())),
                                  T.StructField("least", T.ArrayType(T.DoubleType()))])
-    routes = durable(queries.mapInArrow(routed, query_schema))
+    routes = stored(queries.mapInArrow(routed, query_schema))
     per_home = {r["home"]: r["n"] for r in routes.groupBy("home").agg(F.count("*").alias("n")).collect()}
     if not per_home:
         return empty
@@ -297,7 +297,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
     nearest_first = Window.partitionBy("key", "position").orderBy("distance", "donor")
     local = search(grouped.withColumn("cells", F.slice("cells", 1, 1)))
     if len(layout.count) > 1:
-        local = durable(local)
+        local = stored(local)
         reached = (
             local.repartition("key")
             .withColumn("rank", F.row_number().over(nearest_first))
@@ -311,7 +311,7 @@ def neighbor_means(queries: DataFrame, donors: DataFrame, key: str = "row_key",
             lambda c: c["least"] * (1 - ROUNDING) <= F.col("within") * (1 + ROUNDING),
         )
         rest = grouped.join(reached, "key", "left").withColumn("within", within).withColumn("cells", F.transform(others, lambda c: c["cells"]))
-        local = local.unionByName(search(durable(rest.where(F.size("cells") > 0).select("key", "x", "group", "cells"))))
+        local = local.unionByName(search(stored(rest.where(F.size("cells") > 0).select("key", "x", "group", "cells"))))
     return (
         # Partitioned on the key alone, so that ranking, averaging and a later join on the key share one shuffle.
         local.repartition("key")
