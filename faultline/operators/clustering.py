@@ -13,6 +13,7 @@ CLUSTERS = 3
 MAX_CLUSTERS = 10
 SEED = 42
 STARTS = 10
+SWEEP_STARTS = 3  # per number of clusters, for a curve that only guides a choice
 ITERATIONS = 300
 
 
@@ -39,7 +40,7 @@ def assign(model: KMeansModel, df: DataFrame, array: str = "sensors") -> DataFra
 
 
 def wcss_sweep(df: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED, array: str = "sensors",
-               starts: int = STARTS, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
+               starts: int = SWEEP_STARTS, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
     """Within-cluster sum of squares for k = 1..max_clusters, each the cheapest of several starts."""
     frame = with_features(df.select(array), array).select("features").persist()
     try:
