@@ -8,7 +8,8 @@ Texts are read once for anchors. Anchors meet by gram: contexts that are the sam
 distinct context goes on if its gram has several. Those come to the gram's shard in batches. A batch gets a suffix array (its suffixes in
 order, with the common prefixes of neighbours, and likewise for what is before the anchors), is merge-scanned with every level of the index for
 windows that occur twice, and enters as the lowest level; two levels of one generation merge to one of the next, so a shard keeps
-logarithmically many. Two windows at offset o are equal when their suffixes share the first WINDOW - o bytes and what precedes the anchors the
+logarithmically many. Should a gram have more than ``HOT_CONTEXTS`` distinct contexts, as at the edges of a passage that very many documents
+hold, its windows go to shards of their own, each by its hash, and are counted there, so that no shard gathers such a group. Two windows at offset o are equal when their suffixes share the first WINDOW - o bytes and what precedes the anchors the
 first o, so runs of neighbours with long enough common prefixes, in both orders, name all windows without comparing pairs.
 """
 
@@ -19,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from faultline.llm.batches import answers, batched, by_batch, in_order, mixed_bits, part_of, rows_by_part, runs, texts_of, unpacked
@@ -29,11 +31,12 @@ GRAM = 40
 REACH = WINDOW - GRAM  # an anchor is at most so far from its window's start
 STARTS_AT_ONCE = 1 << 18
 BATCH_CONTEXTS = 4096
+HOT_CONTEXTS = 1024
 OFFSETS_AT_ONCE = 23
 PLACE = np.dtype([("doc", "<u4"), ("start", "<u4"), ("starts", "<u2"), ("offset", "<u2")])
 RANGE = np.dtype([("doc", "<u4"), ("start", "<u4"), ("starts", "<u4")])
 _BASE = 0x5851F42D4C957F2D
-SETTLED, SENT = 1, 2
+SETTLED, SENT, HOT = 1, 2, 4
 
 
 @lru_cache(maxsize=1)
@@ -226,7 +229,7 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         copies = np.add.reduceat(count[order].astype(np.int64), firsts)[of_context]
         distinct = np.add.reduceat(fresh.astype(np.int64), begins)[of_gram]
         code = np.empty(len(gram), dtype=np.uint8)
-        code[order] = SETTLED * (copies > 1) + SENT * (fresh & (distinct > 1))
+        code[order] = SETTLED * (copies > 1) + fresh * np.where(distinct > HOT_CONTEXTS, HOT, SENT * (distinct > 1))
         told = np.flatnonzero(code)
         owner = np.repeat(np.arange(len(gram)), count)
         spot = np.flatnonzero(code[owner])
@@ -242,18 +245,41 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         if not len(code) or not table.num_rows:
             return _EMPTY_CONTEXTS
         first = np.cumsum(count) - count
+        texts, batch = texts_of(in_order(table)), table.column("batch")[0].as_py()
+        hot = _windows(texts, place[first[np.flatnonzero(code & HOT)]], batch, parts)
         sent = np.flatnonzero(code & SENT)
+        if not len(sent):
+            return hot
         sent = sent[np.argsort(part_of(gram[sent], parts), kind="stable")]
-        texts, spots = texts_of(in_order(table)), place[first[sent]]
+        spots = place[first[sent]]
         bodies = [texts[p["doc"]][int(p["start"]) : int(p["start"]) + int(p["starts"]) + WINDOW - 1] for p in spots]
         part = part_of(gram[sent], parts)
         columns = {"gram": gram[sent], "settled": code[sent] & SETTLED, "places": spots}
-        out = rows_by_part(table.column("batch")[0].as_py(), part, columns)
+        out = rows_by_part(batch, part, columns)
         begins, _ = runs(part)
         ends = np.append(begins[1:], len(part))
-        return out.append_column("text", pa.array([b"".join(bodies[b:e]) for b, e in zip(begins, ends)], pa.binary()))
+        out = out.append_column("text", pa.array([b"".join(bodies[b:e]) for b, e in zip(begins, ends)], pa.binary()))
+        return pa.concat_tables([out, hot])
 
     def scan(table: pa.Table) -> pa.Table:
+        single = pc.is_null(table.column("settled"))
+        return pa.concat_tables([scan_contexts(table.filter(pc.invert(single))), count_windows(table.filter(single))])
+
+    def count_windows(table: pa.Table) -> pa.Table:
+        """Windows of hot grams: those that occur twice, in whatever batches."""
+        (value, sizes), count = unpacked(table, "gram", "<u8"), unpacked(table, "text", "<u4")[0]
+        place = unpacked(table, "places", PLACE)[0]
+        order = np.argsort(value)
+        begins, run = runs(value[order])
+        twice = np.empty(len(value), dtype=bool)
+        if len(value):
+            twice[order] = (np.add.reduceat(count[order].astype(np.int64), begins) > 1)[run]
+        owner = np.repeat(np.arange(len(value)), count)
+        spot = np.flatnonzero(twice[owner])
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        return answers(table, {"ranges": (_ranges(place[spot]), row[owner[spot]])})
+
+    def scan_contexts(table: pa.Table) -> pa.Table:
         (gram, sizes), settled, place = unpacked(table, "gram", "<u8"), unpacked(table, "settled", "u1")[0], unpacked(table, "places", PLACE)[0]
         text = unpacked(table, "text", "u1")[0]
         seen = repeated_ranges(gram, text, place["offset"].astype(np.int64), place["starts"].astype(np.int64))
@@ -268,11 +294,7 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         rows = []
         for at in range(table.num_rows):
             code, _, count, place = entries(table.slice(at, 1))
-            place = place[np.repeat((code & SETTLED) > 0, count)]
-            ranges = np.empty(len(place), dtype=RANGE)
-            for name in RANGE.names:
-                ranges[name] = place[name]
-            rows.append(ranges.tobytes())
+            rows.append(_ranges(place[np.repeat((code & SETTLED) > 0, count)]).tobytes())
         return pa.Table.from_arrays([table.column("batch"), pa.array(rows, pa.binary())], ["batch", "ranges"])
 
     def copied(batches_of_rows):
@@ -307,6 +329,38 @@ def removable(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return by_batch(batches, ranges, cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
+def _ranges(place: np.ndarray) -> np.ndarray:
+    ranges = np.empty(len(place), dtype=RANGE)
+    for name in RANGE.names:
+        ranges[name] = place[name]
+    return ranges
+
+
+def _windows(texts: list[bytes], spots: np.ndarray, batch: int, parts: int) -> pa.Table:
+    """Each window of some contexts by its hash, equal ones of a batch once with their count and places; no column ``settled``."""
+    power, inverse = _powers()
+    values, places = [], []
+    for spot in spots:
+        low, starts = int(spot["start"]), int(spot["starts"])
+        data = np.frombuffer(texts[spot["doc"]], dtype=np.uint8)[low : low + starts + WINDOW - 1].astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((data + np.uint64(1)) * power[: len(data)])])
+        values.append(mixed_bits((sums[WINDOW:] - sums[:-WINDOW]) * inverse[:starts]))
+        place = np.zeros(starts, dtype=PLACE)
+        place["doc"], place["start"], place["starts"] = spot["doc"], low + np.arange(starts), 1
+        places.append(place)
+    if not values:
+        return _EMPTY_CONTEXTS
+    value, place = np.concatenate(values), np.concatenate(places)
+    order = np.argsort(value, kind="stable")
+    value, place = value[order], place[order]
+    begins, _ = runs(value)
+    count = np.diff(np.append(begins, len(value))).astype("<u4")
+    part = part_of(value, parts)
+    found = rows_by_part(batch, part[begins], {"gram": value[begins], "text": count})
+    columns = {**{name: found.column(name) for name in ("batch", "part", "gram")}, "settled": pa.nulls(len(found), pa.binary())}
+    return pa.table({**columns, "places": rows_by_part(batch, part, {"places": place}).column("places"), "text": found.column("text")})
+
+
 def _empty(**columns: pa.DataType) -> pa.Table:
     return pa.Table.from_pylist([], pa.schema(list(columns.items())))
 

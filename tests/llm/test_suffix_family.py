@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from edge_tables import PASSAGE, edge_documents
 from faultline.llm import suffix_family
@@ -45,7 +46,8 @@ def test_edge_cases(spark):
     assert suffix_family.removable(edge_documents(spark, rows=False)).count() == 0
 
 
-def test_passages_in_many_surroundings(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [2, 1024])
+def test_passages_in_many_surroundings(spark, monkeypatch, hot):
     draw = random.Random(8)
     noise = lambda n: "".join(draw.choice("abcd é\n") for _ in range(n))
     whole = noise(500) + "\0\0\0" + noise(120)
@@ -54,7 +56,7 @@ def test_passages_in_many_surroundings(spark, monkeypatch):
         low = draw.randrange(0, 300)
         text = noise(draw.randrange(0, 300)) + whole[low : low + draw.randrange(150, 420)] + noise(draw.randrange(0, 300))
         rows.append((i, text if i % 10 else text + PASSAGE * 3))
-    monkeypatch.setattr(suffix_family, "STARTS_AT_ONCE", 1 << 18)
+    monkeypatch.setattr(suffix_family, "HOT_CONTEXTS", hot)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     assert got(suffix_family.removable(docs)) == expected(rows)
 
