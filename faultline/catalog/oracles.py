@@ -285,7 +285,7 @@ SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 2 <> 0 THEN
 FROM (SELECT *, {FILE} AS file FROM lineitem)"""
 ORACLES["csv_round_trip"] = "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem"
 ORACLES["kmeans_consistent"] = "SELECT vec_id, true AS nearest, true AS centre_is_mean FROM embeddings"
-ORACLES["elbow_falls"] = "SELECT CAST(k AS INTEGER) AS k, true AS falls FROM range(2, 11) AS t(k)"
+ORACLES["elbow_bounded"] = "SELECT CAST(k AS INTEGER) AS k, true AS bounded FROM range(2, 11) AS t(k)"
 ORACLES["train_knn"] = """
 WITH long AS (
   SELECT vec_id, label, unnest(embedding)::DOUBLE AS value, unnest(range(64)) AS place FROM embeddings),

