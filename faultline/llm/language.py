@@ -27,6 +27,8 @@ UNDETERMINED = "und"
 CHARS_AT_ONCE = 1 << 20
 TEXTS_AT_ONCE = 128
 UNIT = 1_000_000
+#: Up to so many languages their counts are broadcast; beyond, rows meet them by a shuffle.
+BROADCAST_LANGUAGES = 10_000
 
 
 @lru_cache(maxsize=1)
@@ -84,7 +86,8 @@ def prototypes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship_package(docs.sparkSession)
     readable = ~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull()
     known = docs.filter(readable).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of"))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGUAGES else sizes
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     # The sample is picked on ids and languages alone; texts meet only its ids, which Spark broadcasts while they are few.
     picked = known.select("doc_id", "lang").join(sizes, F.col("lang") == F.col("of")).filter(place * F.col("n") < per_language)
