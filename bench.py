@@ -22,7 +22,7 @@ HEADLINE = [
     "mean_impute", "mode_impute", "prediction_fill", "row_positions", "knn_impute", "knn_classify", "standardize", "wcss_k1",
     "assign_fixed_centers", "kmeans_clusters", "auc_rank_sum", "select_best_model", "prediction_labels", "prediction_sorted",
     "prediction_summary", "raw_line_verdicts", "append_twice", "csv_round_trip", "prediction_order",
-    "train_logisticregression", "train_decisiontree", "train_adaboost", "train_svm", "train_knn", "train_randomforest", "predict_end_to_end",
+    "train_logisticregression", "train_decisiontree", "train_adaboost", "train_svm", "train_knn", "train_randomforest",
 ]
 
 
