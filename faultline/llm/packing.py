@@ -10,6 +10,7 @@ over range partitions, and what a partition adds to a rank is one number per par
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,19 +33,27 @@ PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 
 
 class ByteBpe:
-    """Ids of a byte-level BPE vocabulary given as ranks; special tokens' strings are ordinary text.
+    """Ids of a byte-level BPE vocabulary given as ranks: ``ids`` takes special tokens' strings as ordinary text, ``ids_with_special`` as tokens.
 
     The same vocabulary and ids as the JSON form in the ``tokenizers`` library. The splitting pattern looks ahead only to part a run of white
     space; a text without such runs is split alike, and much faster, by the pattern without that.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
+        import os
+
         import public_tokenizers
         import regex
         import tiktoken
 
         with open(public_tokenizers.path(vocabulary), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        added = os.path.join(os.path.dirname(public_tokenizers.path(vocabulary)), os.path.splitext(vocabulary)[0] + ".json")
+        self.special: dict[str, int] = {}
+        if os.path.exists(added):
+            with open(added, encoding="utf-8") as form:
+                self.special = {token["content"]: token["id"] for token in json.load(form)["added_tokens"]}
+        self.whole = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
         named = lambda pattern: tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.encode, self.encode_plain = named(public_tokenizers.PATTERN), named(public_tokenizers.PATTERN.replace(LOOK_AHEAD, ""))
         self.has_run = regex.compile(r"\s\s").search
@@ -52,6 +61,12 @@ class ByteBpe:
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(array("I", (self.encode if self.has_run(text) else self.encode_plain)(text)), dtype=np.uint32)
 
+    def ids_with_special(self, text: str) -> np.ndarray:
+        """What the library's default gives: an added token's string is that token wherever it stands."""
+        if not any(token in text for token in self.special):
+            return self.ids(text)
+        return np.array(self.whole.encode(text, allowed_special="all"), dtype=np.uint32)
+
 
 @lru_cache(maxsize=1)
 def tokenizer(vocabulary: str) -> ByteBpe:
@@ -74,7 +89,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encoder.ids(text.as_py() or ""), np.uint32(END))
+                ids = np.append(encoder.ids_with_special(text.as_py() or ""), np.uint32(END))
                 rows += [(doc_id, *piece, len(ids)) for piece in cut(ids, capacity)]
                 if len(rows) >= ROWS_AT_ONCE:
                     yield _batch(rows, kinds)

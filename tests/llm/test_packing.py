@@ -94,3 +94,23 @@ def test_patterns_use_every_length():
         for length, n in pattern.items():
             used[length] += n * times
     assert used == counts
+
+
+@pytest.fixture(scope="module")
+def unchanged_library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y  ", "a  <|endoftext|>  b\tc", "<|endoftext|", "<<|endoftext|>>"]
+
+
+def test_special_strings_get_the_ids_of_the_unchanged_library(spark, unchanged_library):
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id bigint, text string")
+    check(packing.packed(docs).collect(), docs.collect(), unchanged_library)
+
+
+@settings(max_examples=300, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "a", " ", "\n", "é", "'s", "<|", "|>", "\t ", "9"]), max_size=12))
+def test_ids_with_special_equal_the_unchanged_library(unchanged_library, parts):
+    text = "".join(parts)
+    assert packing.tokenizer(packing.VOCABULARY).ids_with_special(text).tolist() == unchanged_library.encode(text, add_special_tokens=False).ids
