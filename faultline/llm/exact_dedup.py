@@ -25,10 +25,11 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per document: its identity as a text, its length in code points, and a row number."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), normalised(F.col(text_col)).alias("norm"))
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), normalised(F.col(text_col)).alias("norm"), row.alias("row_id"))
     return rows.select(
         "doc_id",
         F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("digest"),
@@ -36,7 +37,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.xxhash64("norm").alias("check"),
         F.char_length("text").alias("code_points"),
         F.spark_partition_id().alias("run"),
-        F.monotonically_increasing_id().alias("row_id"),
+        "row_id",
     )
 
 
@@ -59,19 +60,21 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stays, of several the smallest id (null last), of repeated rows with one id an arbitrary but single one. An empty
     table gives no rows. Other columns are ignored, whatever their names. ``runs``: leaf runs of the merge.
     """
+    return _judged(docs, id_col, text_col, runs, fan_in).drop("row_id")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, runs: int | None = None, fan_in: int = FAN_IN, row_col: str | None = None) -> DataFrame:
     runs = runs or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = stored(digests(docs, id_col, text_col))
+    rows = stored(digests(docs, id_col, text_col, row_col))
     groups = merged_runs(rows, runs, fan_in)
     kept = F.col("row_id") == F.col("best.row_id")
     return rows.join(groups, IDENTITY).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "row_id"
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those whose text another row, the one that stays, holds already; all columns."""
-    key = F.concat_ws(":", F.sha2(normalised(F.col(text_col)).cast("binary"), 256), F.col(id_col).cast("string"))
-    found = exact_duplicates(docs, id_col, text_col).filter("kept")
-    stay = found.select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias("__row"))
-    keyed = docs.withColumn("__row", key).join(stay, "__row", "left_semi")
-    return keyed.dropDuplicates(["__row"]).select(*docs.columns)
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    kept = _judged(rows, id_col, text_col, row_col="__row").filter("kept").select(F.col("row_id").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
