@@ -42,64 +42,115 @@ WORDS_OF_HEADERS = {"header", "siteheader", "pageheader"}
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'">]++|"[^"]*"|'[^']*')*+)>""")
 _TELLING = re.compile(r"class|\bid\b|role|hidden|style", re.I)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_PAIR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 _CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CLOSES_P = re.compile(r"p|div|ul|ol|dl|table|h[1-6]|section|article|aside|header|footer|nav|main|form|pre|blockquote|hr|figure|address|fieldset|details")
 #: A new element of these kinds ends an open one of the same kind in the same list or table.
 _SAME_ENDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
+#: Parts of a class word that say what an element has or lacks, not what it is.
+QUALIFIERS = {"has", "have", "no", "not", "non", "with", "without", "free", "hide", "show"}
+#: Elements that are blocks of a container, never the container.
+PIECES = HEADINGS | INLINE | {"p", "li", "ul", "ol", "dl", "dt", "dd", "tr", "td", "th", "tbody", "thead", "table", "pre", "blockquote", "figure", "figcaption"}
+
+
 class Element:
-    __slots__ = ("name", "aside", "article", "main", "link", "header")
+    """``aside``: by tag, role or hiding; ``named``: this or the nearest element around it that class or id words call aside."""
+
+    __slots__ = ("name", "parent", "depth", "aside", "named", "article", "main", "link", "header")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
-        self.name = name
-        telling = bool(attributes) and _TELLING.search(attributes) is not None
-        self.aside = parent is not None and parent.aside or name in ASIDE or telling and _aside_by_name(attributes, name)
-        self.article = parent is not None and parent.article or name == "article"
-        self.main = parent is not None and parent.main or name == "main" or telling and 'role="main"' in attributes
-        self.header = parent is not None and parent.header or name == "header" or telling and _header_by_name(attributes)
+        self.name, self.parent, self.depth = name, parent, parent.depth + 1 if parent else 0
+        pairs = _pairs(attributes) if attributes and _TELLING.search(attributes) else {}
+        self.aside = parent is not None and parent.aside or name in ASIDE or _aside_by_role(pairs, name)
+        self.named = self if pairs and _aside_by_name(pairs, name) else parent.named if parent else None
+        self.article = parent.article if parent and parent.article else self if name == "article" else None
+        self.main = parent.main if parent and parent.main else self if name == "main" or pairs.get("role", "").strip().lower() == "main" else None
+        self.header = parent is not None and parent.header or name == "header" or bool(pairs) and _header_by_name(pairs)
         self.link = parent is not None and parent.link or name == "a"
 
 
-def _named(attributes: str) -> Iterator[tuple[str, str]]:
-    for key, *values in _NAMES.findall(attributes):
-        yield key.lower(), next((v for v in values if v), "")
+def _pairs(attributes: str) -> dict[str, str]:
+    """Names and values; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for key, *values in _PAIR.findall(attributes):
+        if key:
+            found.setdefault(key.lower(), html.unescape(next((v for v in values if v), "")))
+    return found
 
 
 def _words(value: str) -> set[str]:
-    parts = re.split(r"[\s_:/.-]+", value)
-    return {w.lower() for part in parts for w in (part, *_CAMEL.findall(part))}
+    words: set[str] = set()
+    for token in value.split():
+        parts = {w.lower() for part in re.split(r"[_:/.-]+", token) for w in (part, *_CAMEL.findall(part))}
+        if not parts & QUALIFIERS:
+            words |= parts
+    return words
+
+
+def _aside_by_role(pairs: dict[str, str], name: str) -> bool:
+    if pairs.get("role", "").strip().lower() in ROLES and name != "body":
+        return True
+    hidden = "hidden" in pairs or pairs.get("aria-hidden") == "true"
+    return hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", pairs.get("style", ""), re.I) is not None
 
 
-def _aside_by_name(attributes: str, name: str) -> bool:
-    if name in ("html", "body", "article", "main"):
-        names = WORDS & {"comment", "comments", "related", "teaser", "ad", "promo"} if name == "article" else set()
-    else:
-        names = WORDS
-    for key, value in _named(attributes):
-        if key in ("class", "id") and names & _words(value):
-            return True
-        if key == "role" and value.strip().lower() in ROLES and name != "body":
-            return True
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+def _aside_by_name(pairs: dict[str, str], name: str) -> bool:
+    if name in ("html", "body", "main"):
+        return False
+    names = WORDS & {"comment", "comments", "related", "teaser", "ad", "promo"} if name == "article" else WORDS
+    return any(names & _words(pairs.get(key, "")) for key in ("class", "id"))
 
 
-def _header_by_name(attributes: str) -> bool:
-    return any(key in ("class", "id") and WORDS_OF_HEADERS & _words(value) for key, value in _named(attributes))
+def _header_by_name(pairs: dict[str, str]) -> bool:
+    return any(WORDS_OF_HEADERS & _words(pairs.get(key, "")) for key in ("class", "id"))
 
 
 class Line:
     """One block's text, what of it is outside links, and where it stands."""
 
-    __slots__ = ("text", "plain", "aside", "article", "main")
+    __slots__ = ("text", "plain", "at", "aside", "article", "main")
 
     def __init__(self, text: str, plain: int, at: Element):
-        self.text, self.plain = text, plain
+        self.text, self.plain, self.at = text, plain, at
         self.aside = at.aside or at.header and not (at.article and at.name in HEADINGS)
-        self.article, self.main = at.article, at.main
+        self.article, self.main = at.article is not None, at.main is not None
+
+
+def _settle_named(lines: list[Line]) -> None:
+    """Lines in elements that are aside by name are so, unless the element wraps the marked part or most of the page's text."""
+    held: dict[Element, int] = {}
+    wrapping: set[Element] = set()
+    total, elsewhere = 0, False
+    for line in lines:
+        own = line.at.named
+        around = own
+        while around is not None and around not in held:
+            held[around] = 0
+            around = around.parent.named
+        if line.aside:
+            continue
+        total += line.plain
+        marked = any(part and line.plain and own is part.named and own is not part for part in (line.at.article, line.at.main))
+        elsewhere |= marked and own is None
+        if own is not None:
+            held[own] += line.plain
+            if marked:
+                wrapping.add(own)
+    inner_last = sorted(held, key=lambda e: e.depth)
+    for element in reversed(inner_last):
+        above = element.parent.named
+        if above is not None:
+            held[above] += held[element]
+            if element in wrapping:
+                wrapping.add(above)
+    out: dict[Element | None, bool] = {None: False}
+    for element in inner_last:
+        wraps = not elsewhere and element in wrapping or 2 * held[element] > total and not (element.parent.article or element.parent.main)
+        out[element] = out[element.parent.named] or not wraps
+    for line in lines:
+        line.aside = line.aside or out[line.at.named]
 
 
 def lines_of(page: str) -> list[Line]:
@@ -178,6 +229,7 @@ def lines_of(page: str) -> list[Line]:
             stack.append(Element(name, stack[-1], attributes))
         block = _block(stack)
     flush()
+    _settle_named(lines)
     return lines
 
 
@@ -206,14 +258,49 @@ def weights(lines: list[Line]) -> list[int]:
     return sizes
 
 
+def _container(found: list[Element]) -> Element | None:
+    """The innermost element around all of these that is more than a block of text."""
+    held: dict[Element, int] = {}
+    for at in found:
+        around: Element | None = at
+        while around is not None and around not in held:
+            held[around] = 0
+            around = around.parent
+        held[at] += 1
+    for element in sorted(held, key=lambda e: -e.depth):
+        if held[element] == len(found) and element.name not in PIECES:
+            return element
+        if element.parent is not None:
+            held[element.parent] += held[element]
+    return None
+
+
+def _inside(lines: list[Line], container: Element) -> list[Line]:
+    """The container's lines that are not aside."""
+    known: dict[Element | None, bool] = {None: False, container: True}
+    for line in lines:
+        path, at = [], line.at
+        while at not in known:
+            path.append(at)
+            at = at.parent
+        known.update(dict.fromkeys(path, known[at]))
+    return [line for line in lines if not line.aside and known[line.at]]
+
+
 def main_text(page: str | None) -> str:
-    """The blocks between surge and dive points, in page order, joined by one space."""
+    """The main container's blocks that are not aside, from its first to its last with text of its own, joined by one space.
+
+    The container is the marked part, or what holds all runs between surge and dive points that reach the share of the peak.
+    """
     lines = lines_of(page or "")
     sizes = weights(lines)
-    marked = any(size and (line.article or line.main) for size, line in zip(sizes, lines))
+    if any(size and (line.article or line.main) for size, line in zip(sizes, lines)):
+        part = "article" if any(size and line.article for size, line in zip(sizes, lines)) else "main"
+        at = [i for i, line in enumerate(lines) if getattr(line, part) and not line.aside]
+        return " ".join(line.text for line in lines[at[0] : at[-1] + 1] if not line.aside and (line.article or line.main))
     sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
-    least = 1 if marked else PEAK_SHARE * max(sums, default=0)
-    kept: list[str] = []
+    least = PEAK_SHARE * max(sums, default=0)
+    found: list[Element] = []
     start = 0
     while start < len(sums):
         if not sums[start]:
@@ -221,9 +308,14 @@ def main_text(page: str | None) -> str:
             continue
         dive = next((i for i in range(start, len(sums)) if not sums[i]), len(sums))
         if max(sums[start:dive]) >= least:
-            kept += [line.text for line, size in zip(lines[start:dive], sizes[start:dive]) if size or marked and (line.article or line.main) and not line.aside]
+            found += [line.at for line, size in zip(lines[start:dive], sizes[start:dive]) if size]
         start = dive
-    return " ".join(kept)
+    container = _container(found)
+    if container is None:
+        return ""
+    inside = _inside(lines, container)
+    own = [i for i, line in enumerate(inside) if line.plain]
+    return " ".join(line.text for line in inside[own[0] : own[-1] + 1])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
