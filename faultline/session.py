@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,7 @@ def stored(df: DataFrame) -> DataFrame:
 
     Unlike a checkpoint, later reads take only the columns that they use.
     """
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = _new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -72,11 +73,42 @@ def stored_by(df: DataFrame, column: str) -> DataFrame:
     A filter on ``column`` then reads its own part only, so working through the values one by one costs one
     pass over the data instead of one pass per value. Generated ids are fixed by it, too.
     """
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = _new_folder(df.sparkSession)
     df.write.partitionBy(column).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+_scopes: list[list[str]] = []
+
+
+def _new_folder(spark: SparkSession) -> str:
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    for folders in _scopes:
+        folders.append(path)
+    return path
+
+
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``stored(make())`` without the folders written on the way, which are removed once the result is written.
+
+    ``make`` must keep no frame that is read later. The result reads its own folder only, so a lost executor needs none of the others.
+    """
+    folders: list[str] = []
+    _scopes.append(folders)
+    try:
+        result = stored(make())
+    finally:
+        _scopes.remove(folders)
+        remove_folders(spark, folders[:-1])
+    return result
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which every executor reaches."""
     sc = spark.sparkContext
