@@ -88,8 +88,8 @@ def _new_folder(spark: SparkSession) -> str:
     return path
 
 
-def stored_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
-    """``stored(make())`` without the folders written on the way, which are removed once the result is written.
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """``stored(make())`` and its folder, without the folders written on the way, which are removed once the result is written.
 
     ``make`` must keep no frame that is read later. The result reads its own folder only, so a lost executor needs none of the others.
     """
@@ -100,7 +100,7 @@ def stored_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFram
     finally:
         _scopes.remove(folders)
         remove_folders(spark, folders[:-1])
-    return result
+    return result, folders[-1]
 
 
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
