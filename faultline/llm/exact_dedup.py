@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from faultline.llm.tables import WHITE
+from faultline.llm.tables import WHITE, fresh_name, numbered
 from faultline.session import stored
 
 FAN_IN = 8
@@ -75,6 +75,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, runs: int | None = None
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those whose text another row, the one that stays, holds already; all columns."""
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
-    kept = _judged(rows, id_col, text_col, row_col="__row").filter("kept").select(F.col("row_id").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    row = fresh_name(docs, "row")
+    rows = numbered(docs, row)
+    gone = _judged(rows, id_col, text_col, row_col=row).filter("not kept").select(F.col("row_id").alias(row))
+    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

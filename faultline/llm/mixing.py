@@ -18,7 +18,7 @@ import re
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from faultline.llm.tables import WORD, n_words
+from faultline.llm.tables import WORD, fresh_name, n_words, numbered
 from faultline.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -137,15 +137,16 @@ def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Copies are parted by a line feed; white space inside a block stays. Documents that the mix leaves out have no row.
     """
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = mixed(rows, id_col, text_col, source_col, carry=("__row",), **options).filter("taken > 0")
-    found = found.select("__row", *[F.col(c).alias(f"__{c}") for c in ("size", "taken", "start", "block", "turns", "rest", "blocks", "picks", "turn")])
+    row, mix, listed = (fresh_name(docs, n) for n in ("row", "mix", "words"))
+    rows = numbered(docs, row)
+    found = mixed(rows, id_col, text_col, source_col, carry=(row,), **options).filter("taken > 0")
+    found = found.select(row, F.struct("size", "taken", "start", "block", "turns", "rest", "blocks", "picks", "turn").alias(mix))
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    joined = rows.join(found, "__row").withColumn("__words", F.when(F.expr("__taken != __turns * __size"), words))
-    named = lambda sql: re.sub(r"\b(start|size|block|rest|blocks|picks|turn)\b", r"__\1", sql)
+    joined = rows.join(found, row).withColumn(listed, F.when(F.expr(f"{mix}.taken != {mix}.turns * {mix}.size"), words))
+    named = lambda sql: re.sub(r"\b(start|size|block|rest|blocks|picks|turn)\b", rf"{mix}.\1", sql)
     low = "greatest(start, k * block)"
     length = f"{picked_before('least(start + size, (k + 1) * block)')} - {picked_before(low)}"
-    pieces = named(f"transform(sequence(start div block, (start + size - 1) div block), k -> slice(__words, cast({low} - start + 1 as int), cast({length} as int)))")
-    extra = F.when(F.col("__words").isNotNull(), F.regexp_replace(F.array_join(F.flatten(F.expr(pieces)), ""), r"^[\x20\x09-\x0D]+", ""))
-    text = F.concat_ws("\n", F.array_repeat(F.col(text_col), F.col("__turns").cast("int")), extra)
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    pieces = named(f"transform(sequence(start div block, (start + size - 1) div block), k -> slice({listed}, cast({low} - start + 1 as int), cast({length} as int)))")
+    extra = F.when(F.col(listed).isNotNull(), F.regexp_replace(F.array_join(F.flatten(F.expr(pieces)), ""), r"^[\x20\x09-\x0D]+", ""))
+    text = F.concat_ws("\n", F.array_repeat(F.col(text_col), F.col(f"{mix}.turns").cast("int")), extra)
+    return joined.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])

@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from faultline.llm.tables import WORD, held_out, n_words
+from faultline.llm.tables import WORD, fresh_name, held_out, n_words
 
 SAMPLE_ROWS = 10_000
 TREES = 16
@@ -149,6 +149,6 @@ def scored(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the model does not reject, all columns."""
-    stats = {f"__{name}": column for name, column in statistics(F.col(text_col)).items()}
+    stats = {fresh_name(docs, f"stat_{name}"): column for name, column in statistics(F.col(text_col)).items()}
     named = RuleEnsemble(list(stats), model.intercept, model.weights)
-    return docs.withColumns(stats).filter(named.score() >= threshold).select(*docs.columns)
+    return docs.withColumns(stats).filter(named.score() >= threshold).select(*[f"`{c}`" for c in docs.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, packing, quality, simhash, suffix_family
+from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, ngram_join, packing, quality, simhash, suffix_family
 from faultline.llm.tables import table
 
 
@@ -49,8 +49,13 @@ def op10_language(spark, sf_dir):
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark, sf_dir):
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_exact_dedup, op3_line_labels, op4_block_anchors, op5_quality, op6_mixing, op7_suffix_family, op8_html_text, op9_packing, op10_language,
+    op11_ngram_join,
 )}
 
 ORACLES = {

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from faultline.llm.components import connected
+from faultline.llm.tables import fresh_name, numbered
 from faultline.session import ship_package, stored
 
 RADIUS = 2
@@ -166,6 +167,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one of each component, all columns."""
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
-    kept = near_duplicates(rows, id_col, text_col, row_col="__row").filter("kept").select(F.col("row_id").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    row = fresh_name(docs, "row")
+    rows = numbered(docs, row)
+    gone = near_duplicates(rows, id_col, text_col, row_col=row).filter("not kept").select(F.col("row_id").alias(row))
+    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
