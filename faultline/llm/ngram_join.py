@@ -8,12 +8,12 @@ enough share an n-gram in short prefixes of that order. The order needs only cla
    documents hold costs a part one number per batch. Two hashes that share those bits only share a class, which harms nothing;
 2. an n-gram of a single set can join nothing. It counts in sizes and positions but is never sent. A set whose prefix holds no other is done;
 3. the rest post the shared n-grams of their prefixes. Two postings of one n-gram are a candidate if the smaller set has it in its index prefix and the
-   length and positional filters leave the required overlap possible. Each candidate pair is verified once: the suffix filter compares the
-   sets' counts per section of the global order, then the hashes are intersected.
+   length, positional and suffix filters leave the required overlap possible. The suffix filter bounds the sets' Hamming distance from below: in the
+   join by bits that each hash flips, then by counts per section of the global order. Each candidate pair is verified once, by intersecting the hashes.
 
 Sets that are equal are one node from the start. Links are wanted for what they connect, so postings are first paired with one hub per n-gram,
-in rounds with other hubs, and only pairs that are still in different components, and not yet verified, are joined with each other at
-the end. A group of thousands of similar sets is thus settled by the hubs instead of by all its pairs; nothing is left out.
+in rounds with other hubs while these still link, and only pairs that are still in different components, and not yet verified, are joined with each
+other at the end. A group of thousands of similar sets is thus settled by the hubs instead of by all its pairs; nothing is left out.
 """
 
 from __future__ import annotations
@@ -32,13 +32,15 @@ from faultline.session import ship_package, stored
 
 SHINGLE = 4
 SIMILARITY = Fraction(17, 20)
-BATCH_BYTES = 32 << 20
-#: The last join waits until the pairs between components are at most so many per posting, or hubs no longer halve them.
+BATCH_BYTES = 16 << 20
+#: The last join waits until the pairs between components are at most so many per posting, or a round of hubs links nothing.
 PAIRS_PER_POSTING = 4
-ROUNDS = 8
-SECTIONS = 8  # of the hash range, per class of counts, in the suffix filter
+ROUNDS = 3
+BITS = 512  # that hashes flip, and sections of the hash range per class of counts, for the suffix filter
+SECTIONS = 8
 SHORT = np.uint64((1 << 32) - 1)
-SETS = "node bigint, digest binary, size bigint, single bigint, prefix array<bigint>, shared binary, classes binary, ids array<bigint>"
+KEPT = ["gram", "node", "size", "single", "bits", "at", "indexed", "root"]
+SETS = "node bigint, digest binary, size bigint, single bigint, prefix array<bigint>, bits array<bigint>, shared binary, classes binary, ids array<bigint>"
 
 
 def spread(values: np.ndarray) -> np.ndarray:
@@ -90,6 +92,12 @@ def from_planes(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def flipped(hashes: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the hashes flips, as 64-bit numbers; those of two sets differ in at most as many bits as the sets in hashes."""
+    odd = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _begins(owners: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]])) if len(owners) else np.empty(0, dtype=np.int64)
 
@@ -107,7 +115,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 SENT = pa.schema([("batch", pa.int64()), ("part", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary())])
 TOLD = pa.schema([("batch", pa.int64()), ("part", pa.int64()), ("classes", pa.binary())])
-FOUND = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("size", pa.int64()), ("single", pa.int64()), ("prefix", pa.list_(pa.int64())),
+FOUND = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("size", pa.int64()), ("single", pa.int64()), ("prefix", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())),
                    ("shared", pa.binary()), ("classes", pa.binary()), ("ids", pa.list_(pa.int64()))])
 
 
@@ -159,11 +167,11 @@ def found_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
             posted = prefix_sizes(len(hashes), similarity)[1] - single
             if posted > 0 and len(shared):
                 shared = shared[np.lexsort((hashes[shared], of[shared]))]
-                rows.append((number << 32 | at, digest, len(hashes), single, hashes[shared[:posted]].view(np.int64), hashes[shared].astype("<u8").tobytes(), of[shared].tobytes(), ids))
+                rows.append((number << 32 | at, digest, len(hashes), single, hashes[shared[:posted]].view(np.int64), flipped(hashes), hashes[shared].astype("<u8").tobytes(), of[shared].tobytes(), ids))
             else:
-                rows.append((number << 32 | at, digest, len(hashes), single, None, None, None, ids))
+                rows.append((number << 32 | at, digest, len(hashes), single, None, None, None, None, ids))
         if batch.without:
-            rows.append((number << 32 | len(batch.sets), None, 0, 0, None, None, None, batch.without))
+            rows.append((number << 32 | len(batch.sets), None, 0, 0, None, None, None, None, batch.without))
         return _table(rows, FOUND)
 
     sent = dealt.groupBy("batch").applyInArrow(send, "batch bigint, part bigint, steps binary, counts binary")
@@ -172,10 +180,12 @@ def found_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
 
 
 def _possible(a: str, b: str, similarity: Fraction) -> str:
-    """SQL: set a, the smaller one by (size, node), may be similar to set b by index prefix, length, n-grams of their own, and position."""
+    """SQL: set a, the smaller one by (size, node), may be similar to set b by index prefix, length, n-grams of their own, position, and suffix."""
     n, d = similarity.numerator, similarity.denominator
+    apart = " + ".join(f"bit_count({a}.bits[{i}] ^ {b}.bits[{i}])" for i in range(BITS // 64))
     return f"""struct({a}.size, {a}.node) < struct({b}.size, {b}.node) and {a}.indexed and {a}.size * {d} >= {b}.size * {n}
-      and least({a}.size - {a}.single, {b}.size - {b}.single, {a}.size - {a}.at, {b}.size - {b}.at) * {n + d} >= ({a}.size + {b}.size) * {n}"""
+      and least({a}.size - {a}.single, {b}.size - {b}.single, {a}.size - {a}.at, {b}.size - {b}.at) * {n + d} >= ({a}.size + {b}.size) * {n}
+      and ({a}.size + {b}.size - ({apart})) * {n + d} >= 2 * ({a}.size + {b}.size) * {n}"""
 
 
 def _verifier(similarity: Fraction):
@@ -214,12 +224,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
 def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
     """Links a, b between nodes that connect all sets that are similar."""
     index = F.expr(f"size - cast(ceil({2 * similarity.numerator} * size / {similarity.numerator + similarity.denominator}) as bigint) + 1")
-    posted = sets.select("node", "size", "single", F.posexplode("prefix").alias("place", "gram")).withColumn("at", F.col("single") + F.col("place"))
-    posted = posted.select("gram", "node", "size", "single", "at", (F.col("at") < index).alias("indexed"))
+    posted = sets.select("node", "size", "single", "bits", F.posexplode("prefix").alias("place", "gram")).withColumn("at", F.col("single") + F.col("place"))
+    posted = posted.select("gram", "node", "size", "single", "bits", "at", (F.col("at") < index).alias("indexed"))
     useful = posted.groupBy("gram").agg(F.count("*").alias("n"), F.max("indexed").alias("some")).filter("n > 1 and some").select("gram")
     posted = stored(posted.join(useful, "gram", "left_semi"))
     tried = roots = None
-    pairs_before = None
+    linked = True
     for turn in range(ROUNDS + 1):
         named = posted.withColumn("root", F.col("node")) if roots is None else posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         per_root = named.groupBy("gram", "root").agg(F.count("*").alias("n"))
@@ -228,14 +238,13 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
         rows, pairs = members.agg(F.count("*"), F.sum((F.col("n") - F.col("within") / F.col("n")) / 2)).first()
         if not rows:
             break
-        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or (pairs_before is not None and pairs > pairs_before / 2)
-        pairs_before = pairs
-        members = members.select("gram", "node", "size", "single", "at", "indexed", "root")
+        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or not linked
+        members = members.select(*KEPT)
         if few:
             other = members
         else:
-            hub = F.struct(F.xxhash64("node", F.lit(turn)), "node", "size", "single", "at", "indexed", "root")
-            other = members.groupBy("gram").agg(F.min(F.when(F.col("indexed"), hub)).alias("hub")).select("gram", "hub.node", "hub.size", "hub.single", "hub.at", "hub.indexed", "hub.root")
+            hub = F.struct(F.xxhash64("node", F.lit(turn)), *KEPT[1:])
+            other = members.groupBy("gram").agg(F.min(F.when(F.col("indexed"), hub)).alias("hub")).select("gram", *[f"hub.{c}" for c in KEPT[1:]])
         one, two = _possible("x", "y", similarity), _possible("y", "x", similarity)
         rule = f"x.gram = y.gram and x.root != y.root and ({one if few else f'({one}) or ({two})'})"
         met = members.alias("x").join(other.alias("y"), F.expr(rule)).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
@@ -245,6 +254,7 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
         tried = fresh if tried is None else tried.union(fresh)
         if few:
             break
+        linked = not fresh.filter("similar").isEmpty()
         roots = connected(tried.filter("similar").select("a", "b"))
     if tried is None:
         return posted.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
@@ -265,7 +275,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = found.filter("digest is not null").groupBy("digest").agg(F.min("node").alias("node"), F.min(low).alias("low"))
     groups = stored(groups)
     again = found.filter("prefix is not null").join(groups.select("digest", F.col("node").alias("first")), "digest").filter("node != first").select("node")
-    sets = found.filter("prefix is not null").select("node", "size", "single", "prefix", "shared", "classes").join(again, "node", "left_anti")
+    sets = found.filter("prefix is not null").select("node", "size", "single", "prefix", "bits", "shared", "classes").join(again, "node", "left_anti")
     roots = connected(links(sets, similarity))
     rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -52,7 +52,7 @@ def edited(base, rng, share):
     return [rng.choice(WORDS) if rng.random() < share else w for w in base]
 
 
-@pytest.mark.parametrize("rounds, pairs", [(8, 4), (0, 4), (8, 0)])
+@pytest.mark.parametrize("rounds, pairs", [(3, 4), (0, 4), (8, 0)])
 def test_groups_of_edited_copies(spark, monkeypatch, rounds, pairs):
     """Groups whose members differ by more or less than the limit allows, and lengths that differ; by hubs, at once, and hubs to the end."""
     monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
