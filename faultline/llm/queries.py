@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, ngram_join, packing, quality, simhash, suffix_family
+from faultline.llm import block_anchors, exact_dedup, html_text, language, line_labels, mixing, ngram_join, packing, quality, simhash, suffix_family, turns, whitening
 from faultline.llm.tables import table
 
 
@@ -53,9 +53,17 @@ def op11_ngram_join(spark, sf_dir):
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_turns(spark, sf_dir):
+    return turns.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_exact_dedup, op3_line_labels, op4_block_anchors, op5_quality, op6_mixing, op7_suffix_family, op8_html_text, op9_packing, op10_language,
-    op11_ngram_join,
+    op11_ngram_join, op12_turns, op13_whitening,
 )}
 
 ORACLES = {
