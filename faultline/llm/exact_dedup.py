@@ -77,5 +77,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The documents without those whose text another row, the one that stays, holds already; all columns."""
     row = fresh_name(docs, "row")
     rows = numbered(docs, row)
-    gone = _judged(rows, id_col, text_col, row_col=row).filter("not kept").select(F.col("row_id").alias(row))
+    gone = stored(_judged(rows, id_col, text_col, row_col=row).filter("not kept").select(F.col("row_id").alias(row)))  # its size decides how it is joined
     return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

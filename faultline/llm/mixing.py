@@ -141,6 +141,7 @@ def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = numbered(docs, row)
     found = mixed(rows, id_col, text_col, source_col, carry=(row,), **options).filter("taken > 0")
     found = found.select(row, F.struct("size", "taken", "start", "block", "turns", "rest", "blocks", "picks", "turn").alias(mix))
+    found = stored(found)
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     joined = rows.join(found, row).withColumn(listed, F.when(F.expr(f"{mix}.taken != {mix}.turns * {mix}.size"), words))
     named = lambda sql: re.sub(r"\b(start|size|block|rest|blocks|picks|turn)\b", rf"{mix}.\1", sql)

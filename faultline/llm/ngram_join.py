@@ -12,7 +12,7 @@ enough share an n-gram in short prefixes of that order. The order needs only cla
    join by bits that each hash flips, then by counts per section of the global order. Each candidate pair is verified once, by intersecting the hashes.
 
 Sets that are equal are one node from the start. Links are wanted for what they connect, so postings are first paired with one hub per n-gram,
-in rounds with other hubs while these still link, and only pairs that are still in different components, and not yet verified, are joined with each
+in rounds with other hubs while these halve what is open, and only pairs that are still in different components, and not yet verified, are joined with each
 other at the end. A group of thousands of similar sets is thus settled by the hubs instead of by all its pairs; nothing is left out.
 """
 
@@ -33,9 +33,9 @@ from faultline.session import ship_package, stored
 SHINGLE = 4
 SIMILARITY = Fraction(17, 20)
 BATCH_BYTES = 16 << 20
-#: The last join waits until the pairs between components are at most so many per posting, or a round of hubs links nothing.
+#: The last join waits until the pairs between components are at most so many per posting, or a round of hubs no longer halves them.
 PAIRS_PER_POSTING = 4
-ROUNDS = 3
+ROUNDS = 8
 BITS = 512  # that hashes flip, and sections of the hash range per class of counts, for the suffix filter
 SECTIONS = 8
 SHORT = np.uint64((1 << 32) - 1)
@@ -216,6 +216,7 @@ def _verifier(similarity: Fraction):
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """a, b, similar: every pair once. One side's list is sent with the pair; the other joins last, and is read once for all pairs that follow it."""
+    pairs = stored(pairs)  # its size decides how the lists are joined
     lists = sets.select("node", "size", "single", "shared", "classes")
     left, right = (lists.toDF(side, *[f"{c}_{side}" for c in lists.columns[1:]]) for side in ("a", "b"))
     return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(similarity), "a bigint, b bigint, similar boolean"))
@@ -228,8 +229,7 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
     posted = posted.select("gram", "node", "size", "single", "bits", "at", (F.col("at") < index).alias("indexed"))
     useful = posted.groupBy("gram").agg(F.count("*").alias("n"), F.max("indexed").alias("some")).filter("n > 1 and some").select("gram")
     posted = stored(posted.join(useful, "gram", "left_semi"))
-    tried = roots = None
-    linked = True
+    tried = roots = before = None
     for turn in range(ROUNDS + 1):
         named = posted.withColumn("root", F.col("node")) if roots is None else posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         per_root = named.groupBy("gram", "root").agg(F.count("*").alias("n"))
@@ -238,7 +238,8 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
         rows, pairs = members.agg(F.count("*"), F.sum((F.col("n") - F.col("within") / F.col("n")) / 2)).first()
         if not rows:
             break
-        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or not linked
+        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or (before is not None and pairs > before / 2)
+        before = pairs
         members = members.select(*KEPT)
         if few:
             other = members
@@ -254,7 +255,6 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
         tried = fresh if tried is None else tried.union(fresh)
         if few:
             break
-        linked = not fresh.filter("similar").isEmpty()
         roots = connected(tried.filter("similar").select("a", "b"))
     if tried is None:
         return posted.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
@@ -274,7 +274,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     low = F.array_min("ids")  # skips nulls
     groups = found.filter("digest is not null").groupBy("digest").agg(F.min("node").alias("node"), F.min(low).alias("low"))
     groups = stored(groups)
-    again = found.filter("prefix is not null").join(groups.select("digest", F.col("node").alias("first")), "digest").filter("node != first").select("node")
+    again = found.filter("prefix is not null").select("node", "digest").join(groups.select("digest", F.col("node").alias("first")), "digest").filter("node != first")
+    again = stored(again.select("node"))
     sets = found.filter("prefix is not null").select("node", "size", "single", "prefix", "bits", "shared", "classes").join(again, "node", "left_anti")
     roots = connected(links(sets, similarity))
     rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

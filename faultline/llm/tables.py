@@ -9,6 +9,7 @@ from faultline.session import stored
 #: White space of all word and normalisation rules: space, tab, line feed, vertical tab, form feed, return.
 WHITE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
+FILES_BROADCAST = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,13 +37,15 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a row number in column ``name`` that every later read of these rows agrees on.
 
     Rows read straight from files are numbered by file and place in it, so nothing is written; others are stored first. The
-    numbers of files are one small row each.
+    files' numbers, one small row each, are broadcast up to ``FILES_BROADCAST`` files and joined by a shuffle beyond.
     """
     source = docs if _read_from_files(docs) else stored(docs)
     path, place, number = (fresh_name(docs, n) for n in ("file", "place", "number"))
     placed = source.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
     files = placed.select(path).distinct().withColumn(number, F.row_number().over(W.orderBy(path)).cast("long"))
     row = F.shiftleft(F.col(number), 40) + F.col(place)
+    if len(source.inputFiles()) <= FILES_BROADCAST:
+        files = F.broadcast(files)
     return placed.join(files, path).select(*[f"`{c}`" for c in docs.columns], row.alias(name))
 
 
