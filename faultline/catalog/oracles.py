@@ -295,3 +295,16 @@ v AS (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS label, list(value ORDER BY p
 ranked AS (
   SELECT q.vec_id, q.label, d.label AS y, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.x, d.x), d.vec_id) AS nth FROM v q CROSS JOIN v d)
 SELECT vec_id, label, avg(y) AS probability, CAST(avg(y) > 0.5 AS INTEGER) AS prediction FROM ranked WHERE nth <= 5 GROUP BY vec_id, label"""
+
+ORACLES["boost_one_round"] = """
+WITH r AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_returnflag = 'R' AS INTEGER) AS y,
+    [CASE WHEN l_suppkey % 7 <> 0 THEN l_discount END, l_tax, l_linenumber::DOUBLE] AS x FROM lineitem),
+c AS (SELECT place, v, sum(0.5 - y)::DOUBLE AS g, count(*) * 0.25::DOUBLE AS h FROM (SELECT y, unnest(x) AS v, unnest(range(3)) AS place FROM r) GROUP BY ALL),
+t AS (SELECT place, sum(g) AS g, sum(h) AS h, coalesce(sum(g) FILTER (v IS NULL), 0) AS gap_g, coalesce(sum(h) FILTER (v IS NULL), 0) AS gap_h FROM c GROUP BY place),
+s AS (SELECT place, v, sum(g) OVER w AS low_g, sum(h) OVER w AS low_h, max(v) OVER (PARTITION BY place) AS top FROM c WHERE v IS NOT NULL WINDOW w AS (PARTITION BY place ORDER BY v)),
+o AS (SELECT place, v, side, low_g + side * gap_g AS gl, low_h + side * gap_h AS hl, g, h FROM s JOIN t USING (place) CROSS JOIN (VALUES (1), (0)) AS d(side) WHERE v < top),
+best AS (SELECT * FROM o WHERE hl >= 1 AND h - hl >= 1 ORDER BY gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) DESC, place, v, side DESC LIMIT 1)
+SELECT l_orderkey, l_linenumber, l_partkey,
+  round(1 / (1 + exp(0.3 * CASE WHEN coalesce(x[place + 1] <= v, side = 1) THEN gl / (hl + 1) ELSE (g - gl) / (h - hl + 1) END)), 9) AS probability
+FROM r CROSS JOIN best"""

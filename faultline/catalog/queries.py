@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from faultline.catalog import standins
 from faultline.catalog.standins import SCHEMA, table
 from faultline.functions import names
-from faultline.operators import (clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation)
+from faultline.operators import (boosting, clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation)
 from faultline.plans.predict import predict_rows
 from faultline.plans.train import train_rows
 from faultline.session import durable, shared_folder, stored
@@ -455,6 +455,17 @@ def _train_one(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 for _name in models.CANDIDATES:
     QUERIES[f"train_{_name.lower()}"] = partial(_train_one, _name)
 
+@query
+def boost_one_round(spark, sf_dir):
+    """One Newton round of depth one; a seventh of the first sensor's readings are gaps, whose side is learned."""
+    rows = stored(_lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        F.array(F.when(F.col("l_suppkey") % 7 != 0, F.col("l_discount")), F.col("l_tax"), F.col("l_linenumber").cast("double")).alias("sensors"),
+    ))
+    scored = boosting.score(rows, boosting.fit(rows, rounds=1, depth=1))
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", F.round("probability", 9).alias("probability"))
+
+
 VECTOR_NAMES = [f"sensor_{i}" for i in range(1, 65)]
 
 

@@ -3,8 +3,7 @@
 Training frames are ``(row_key, sensors, label)`` with scaled sensors and labels 0/1. ``score`` adds
 ``probability`` (of class 1) and ``prediction``.
 
-Two candidates have no Spark counterpart and are named substitutes: ``XGBoost`` is Spark gradient-boosted
-trees with that library's default rounds, rate and depth, and ``SVM`` approximates the RBF kernel by random
+``XGBoost`` is second-order boosting (``boosting.py``). ``SVM`` has no Spark counterpart and approximates the RBF kernel by random
 Fourier features under a linear SVM, calibrated by logistic regression.
 """
 
@@ -23,6 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faultline.functions import literal_arrays as constants
+from faultline.operators import boosting
 from faultline.operators.neighbors import knn_vote
 from faultline.session import ship_package
 
@@ -30,7 +30,7 @@ SEED = 42
 # Library defaults of the candidate models.
 FOREST_TREES = 100
 TREE_DEPTH = 30  # Spark's limit; the originals grow without one
-XGB_ROUNDS, XGB_RATE, XGB_DEPTH = 100, 0.3, 6
+XGB_ROUNDS = boosting.ROUNDS
 GBM_ROUNDS, GBM_RATE, GBM_DEPTH = 100, 0.1, 3
 LOGISTIC_ITERATIONS = 2000
 ADA_ROUNDS = 50
@@ -279,12 +279,13 @@ def _score_ada(fitted: Fitted, df: DataFrame) -> DataFrame:
     return df.withColumn("probability", 1 / (1 + F.exp(-2 * decision))).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
 
 
-SCORERS = {"ml": _score_ml, "svm": _score_svm, "knn": _score_knn, "ada": _score_ada}
+SCORERS = {"ml": _score_ml, "svm": _score_svm, "knn": _score_knn, "ada": _score_ada,
+           "newton": lambda fitted, df: boosting.score(df, fitted.params)}
 
 # Candidates in declared order, which decides ties.
 CANDIDATES: dict[str, Callable[[DataFrame], Fitted]] = {
     "RandomForest": lambda train: _fit_ml(ml.RandomForestClassifier(numTrees=FOREST_TREES, maxDepth=TREE_DEPTH, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=NODE_MEMORY_MB))(train),
-    "XGBoost": lambda train: _fit_ml(ml.GBTClassifier(maxIter=XGB_ROUNDS, stepSize=XGB_RATE, maxDepth=XGB_DEPTH, seed=SEED))(train),
+    "XGBoost": lambda train: Fitted("newton", boosting.fit(train, XGB_ROUNDS)),
     "LogisticRegression": _fit_logistic,
     "DecisionTree": lambda train: _fit_ml(ml.DecisionTreeClassifier(maxDepth=TREE_DEPTH, seed=SEED, maxMemoryInMB=NODE_MEMORY_MB))(train),
     "SVM": _fit_svm,
