@@ -23,6 +23,7 @@ HEADLINE = [
     "assign_fixed_centers", "kmeans_clusters", "auc_rank_sum", "select_best_model", "prediction_labels", "prediction_sorted",
     "prediction_summary", "raw_line_verdicts", "append_twice", "csv_round_trip", "prediction_order",
     "train_logisticregression", "train_decisiontree", "train_adaboost", "train_svm", "train_knn", "train_randomforest",
+    "kmeans_step", "elbow_wcss", "boost_one_round", "train_xgboost", "train_gradientboosting", "best_model_per_cluster", "predict_end_to_end",
 ]
 
 

@@ -308,3 +308,11 @@ best AS (SELECT * FROM o WHERE hl >= 1 AND h - hl >= 1 ORDER BY gl * gl / (hl +
 SELECT l_orderkey, l_linenumber, l_partkey,
   round(1 / (1 + exp(0.3 * CASE WHEN coalesce(x[place + 1] <= v, side = 1) THEN gl / (hl + 1) ELSE (g - gl) / (h - hl + 1) END)), 9) AS probability
 FROM r CROSS JOIN best"""
+
+ORACLES["kmeans_step"] = f"""
+WITH d AS (
+  SELECT [l_quantity, l_extendedprice, l_discount, l_tax] AS x, {_square((10.0, 20000.0, 0.02, 0.02))} AS a, {_square((25.0, 50000.0, 0.05, 0.04))} AS b,
+    {_square((40.0, 80000.0, 0.08, 0.06))} AS c FROM lineitem),
+near AS (SELECT x, CASE WHEN a <= b AND a <= c THEN 0 WHEN b <= c THEN 1 ELSE 2 END AS cluster, least(a, b, c) AS square FROM d),
+long AS (SELECT cluster, unnest(x) AS value, unnest(range(4)) AS place FROM near)
+SELECT cluster, CAST(place AS INTEGER) AS position, round(avg(value), 4) AS mean, (SELECT round(sum(square) / 1e6, 2) FROM near) AS cost FROM long GROUP BY ALL"""

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from faultline.catalog import standins
@@ -365,6 +366,15 @@ def assign_fixed_centers(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", clustering.nearest_centre(F.col("sensors"), CENTRES).alias("cluster"))
 
 
+@query
+def kmeans_step(spark, sf_dir):
+    """One round from fixed centres: the means of the rows nearest to each, and the cost before the move."""
+    rows = standins.sensor_rows(_lineitem(spark, sf_dir)).select(F.col("sensors").alias("x"))
+    (centres, cost), = clustering.step(rows, [np.array(CENTRES)])
+    found = [(c, p, round(float(centres[c, p]), 4), round(cost / 1e6, 2)) for c in range(len(CENTRES)) for p in range(4)]
+    return spark.createDataFrame(found, "cluster int, position int, mean double, cost double")
+
+
 def _stored_vectors(spark, sf_dir):
     return stored(standins.vectors(table(spark, sf_dir, "embeddings")))
 

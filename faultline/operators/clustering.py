@@ -2,37 +2,175 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faultline.functions import literal_arrays as constants
+from faultline.session import ship_package, stored
 
-# The cluster count in use, the sweep's end, and the seed.
+# The cluster count in use, the sweep's end, the seed, starts and rounds, and the least move, as a share of the mean variance.
 CLUSTERS = 3
 MAX_CLUSTERS = 10
 SEED = 42
 STARTS = 10
-SWEEP_STARTS = 3  # per number of clusters, for a curve that only guides a choice
 ITERATIONS = 300
+TOLERANCE = 1e-4
+SETTLED = 1e-8  # for the cheapest run, which goes on until its centres stay
 
 
 def with_features(df: DataFrame, array: str = "sensors", name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(array))
 
 
-def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors", starts: int | None = None, iterations: int = ITERATIONS) -> KMeansModel:
-    """k-means on ``array``: the cheapest of ``starts`` fits, each from its own seed and of at most ``iterations`` rounds."""
-    frame = with_features(df.select(array), array).select("features").persist()
-    try:
-        return _cheapest(frame, k, seed, starts or STARTS, iterations)
-    finally:
-        frame.unpersist()
+@dataclass
+class Run:
+    """One start: its centres so far (k x d) and, once measured, its cost."""
 
+    centres: np.ndarray
+    moving: bool = True
+    cost: float = float("inf")
 
-def _cheapest(frame: DataFrame, k: int, seed: int, starts: int, iterations: int) -> KMeansModel:
-    fits = (KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(frame) for i in range(starts))
-    return min(fits, key=lambda model: model.summary.trainingCost)
+
+def fit(df: DataFrame, k: int = CLUSTERS, seed: int = SEED, array: str = "sensors", starts: int | None = None, iterations: int = ITERATIONS) -> KMeansModel:
+    """k-means on ``array``: the cheapest of ``starts`` fits, each from its own seeds and of at most ``iterations`` rounds."""
+    rows = _numbered(df, array)
+    best = min(_fitted(rows, [k] * (starts or STARTS), seed, iterations), key=lambda run: run.cost)
+    best.moving = True
+    _moved(rows, [best], SETTLED, iterations)
+    return model_of(df.sparkSession, best.centres)
+
+
+def _numbered(df: DataFrame, array: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), F.col(array).alias("x")))
+
+
+def _fitted(rows: DataFrame, ks: list[int], seed: int, iterations: int) -> list[Run]:
+    """A run for each of ``ks``. All runs share every pass over the rows: one per seed to find, one per round, and one to measure."""
+    runs = [Run(centres) for centres in seeds(rows, ks, seed)]
+    _moved(rows, runs, TOLERANCE, iterations)
+    for run, (_, cost) in zip(runs, step(rows, [run.centres for run in runs])):
+        run.cost = cost
+    return runs
+
+
+def _moved(rows: DataFrame, runs: list[Run], tolerance: float, iterations: int) -> None:
+    """Move the centres of all moving runs until they move by less than a share of the mean variance."""
+    spread = rows.select(F.posexplode("x").alias("place", "value")).groupBy("place").agg(F.var_pop("value").alias("v")).agg(F.avg("v")).first()[0] or 0.0
+    for _ in range(iterations):
+        moving = [run for run in runs if run.moving]
+        if not moving:
+            break
+        for run, (centres, _) in zip(moving, step(rows, [run.centres for run in moving])):
+            run.moving = bool(((centres - run.centres) ** 2).sum() > tolerance * spread)
+            run.centres = centres
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(batch.column("x").flatten().to_numpy(zero_copy_only=False), dtype=float).reshape(batch.num_rows, -1)
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Square distances of all rows to all centres."""
+    return np.maximum((x**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * x @ centres.T, 0.0)
+
+
+def seeds(rows: DataFrame, ks: list[int], seed: int) -> list[np.ndarray]:
+    """Seeds of each run by k-means++: rows drawn in turn with a chance in proportion to their square distance from the seeds so far.
+
+    A row's draw is the smallest of exponential numbers divided by the weights, which tasks can find apart: one row per task and run is shuffled. A run
+    of more clusters than there are distinct rows repeats a row.
+    """
+    found: list[list[np.ndarray]] = [[] for _ in ks]
+    for turn in range(max(ks)):
+        open_runs = [i for i, k in enumerate(ks) if turn < k]
+        chosen = [np.array(found[i]) for i in open_runs]
+
+        def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple[float, list]] = {}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, row = _matrix(batch), batch.column("row").to_numpy().astype(np.uint64)
+                for i, centres in zip(open_runs, chosen):
+                    weight = _squares(x, centres).min(1) if len(centres) else np.ones(len(x))
+                    key = -np.log(_uniform(row, seed, i, turn)) / np.maximum(weight, 1e-300)
+                    at = int(key.argmin())
+                    if i not in best or key[at] < best[i][0]:
+                        best[i] = (float(key[at]), x[at].tolist())
+            kinds = (pa.int64(), pa.float64(), pa.list_(pa.float64()))
+            columns = zip(*((i, key, point) for i, (key, point) in best.items())) if best else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["run", "key", "point"])
+
+        drawn = rows.mapInArrow(draw, "run bigint, key double, point array<double>").groupBy("run").agg(F.min_by("point", "key").alias("point"))
+        for r in drawn.collect():  # one row per run
+            found[r["run"]].append(np.array(r["point"]))
+    return [np.array(f) for f in found]
+
+
+def _uniform(row: np.ndarray, *salt: int) -> np.ndarray:
+    """A number between 0 and 1 for each row, the same in every pass."""
+    value = row * np.uint64(0x9E3779B97F4A7C15) + np.random.default_rng(salt).integers(0, 1 << 63, dtype=np.uint64)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        value = (value ^ (value >> np.uint64(30))) * np.uint64(factor)
+    return ((value ^ (value >> np.uint64(31))) >> np.uint64(11)).astype(float) / (1 << 53) + 1e-17
+
+
+def step(rows: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, float]]:
+    """For each run's centres, the means of the rows (x) nearest to each, the lower centre on ties, and the cost before the move.
+
+    A centre without rows stays. One aggregation for all runs: a task sends one sum per run, centre and coordinate.
+    """
+    ship_package(rows.sparkSession)
+    widths = [len(c) * (c.shape[1] + 1) + 1 for c in runs]
+    begins = np.concatenate([[0], np.cumsum(widths)])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(begins[-1])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch)
+            squares = _squares(x, np.concatenate(runs))
+            at = 0
+            for centres, begin, end in zip(runs, begins, begins[1:]):
+                own, at = squares[:, at : at + len(centres)], at + len(centres)
+                member = (own.argmin(1)[:, None] == np.arange(len(centres))).astype(float)
+                total[begin : end - 1] += np.concatenate([member.T @ x, member.sum(0)[:, None]], axis=1).ravel()
+                total[end - 1] += own.min(1).sum()
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["place", "value"])
+
+    sums = rows.select("x").mapInArrow(partial, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas()
+    total = np.zeros(begins[-1])
+    total[sums["place"]] = sums["value"]
+    moved = []
+    for centres, begin, end in zip(runs, begins, begins[1:]):
+        table = total[begin : end - 1].reshape(len(centres), -1)
+        n = table[:, -1:]
+        moved.append((np.where(n > 0, table[:, :-1] / np.maximum(n, 1), centres), float(total[end - 1])))
+    return moved
+
+
+def model_of(spark: SparkSession, centres: np.ndarray) -> KMeansModel:
+    """Spark's own model with these centres."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    points = jvm.java.util.ArrayList()
+    for centre in centres.tolist():
+        values = gateway.new_array(jvm.double, len(centre))
+        for i, value in enumerate(centre):
+            values[i] = value
+        points.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
+    inner = jvm.org.apache.spark.mllib.clustering.KMeansModel(points)
+    model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(f"KMeans_{uuid.uuid4().hex[:12]}", inner))
+    return model.setFeaturesCol("features").setPredictionCol("cluster")
 
 
 def assign(model: KMeansModel, df: DataFrame, array: str = "sensors") -> DataFrame:
@@ -42,15 +180,12 @@ def assign(model: KMeansModel, df: DataFrame, array: str = "sensors") -> DataFra
 def wcss_sweep(df: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED, array: str = "sensors",
                starts: int | None = None, iterations: int = ITERATIONS) -> list[tuple[int, float]]:
     """Within-cluster sum of squares for k = 1..max_clusters, each the cheapest of several starts."""
-    frame = with_features(df.select(array), array).select("features").persist()
-    try:
-        # Spark's k-means starts at two clusters; one cluster has a closed form.
-        sweep = [(1, float(wcss_of_one(df, array).first()["wcss"]))]
-        for k in range(2, max_clusters + 1):
-            sweep.append((k, float(_cheapest(frame, k, seed, starts or SWEEP_STARTS, iterations).summary.trainingCost)))
-        return sweep
-    finally:
-        frame.unpersist()
+    sweep = [(1, float(wcss_of_one(df, array).first()["wcss"]))]  # one cluster has a closed form
+    ks = [k for k in range(2, max_clusters + 1) for _ in range(starts or STARTS)]
+    costs: dict[int, float] = {}
+    for k, run in zip(ks, _fitted(_numbered(df, array), ks, seed, iterations) if ks else []):
+        costs[k] = min(costs.get(k, float("inf")), run.cost)
+    return sweep + sorted(costs.items())
 
 
 def sweep_table(spark: SparkSession, sweep: list[tuple[int, float]]) -> DataFrame:

@@ -6,16 +6,8 @@ import pytest
 
 from faultline.catalog.oracles import ORACLES
 from faultline.catalog.queries import QUERIES
-from faultline.operators import clustering
 from oracle import compare
 
-@pytest.fixture(autouse=True)
-def fewer_starts(monkeypatch):
-    """The clusters' checks hold for any number of starts."""
-    monkeypatch.setattr(clustering, "STARTS", 2)
-    monkeypatch.setattr(clustering, "SWEEP_STARTS", 1)
-
-
 DATA = os.environ.get("FAULTLINE_TESTDATA", "/root/testdata/sf0.001")
 
 
