@@ -33,9 +33,9 @@ from faultline.session import ship_package, stored
 SHINGLE = 4
 SIMILARITY = Fraction(17, 20)
 BATCH_BYTES = 16 << 20
-#: The last join waits until the pairs between components are at most so many per posting, or a round of hubs no longer halves them.
+#: The last join waits until the pairs between components are at most so many per posting, or, after ``LEAST_ROUNDS`` rounds, hubs no longer halve them.
 PAIRS_PER_POSTING = 4
-ROUNDS = 8
+ROUNDS, LEAST_ROUNDS = 8, 4
 BITS = 512  # that hashes flip, and sections of the hash range per class of counts, for the suffix filter
 SECTIONS = 8
 SHORT = np.uint64((1 << 32) - 1)
@@ -238,13 +238,14 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
         rows, pairs = members.agg(F.count("*"), F.sum((F.col("n") - F.col("within") / F.col("n")) / 2)).first()
         if not rows:
             break
-        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or (before is not None and pairs > before / 2)
+        few = pairs <= PAIRS_PER_POSTING * rows or turn == ROUNDS or (turn > LEAST_ROUNDS and pairs > before / 2)
         before = pairs
         members = members.select(*KEPT)
         if few:
             other = members
         else:
-            hub = F.struct(F.xxhash64("node", F.lit(turn)), *KEPT[1:])
+            # The first hubs are the same for many n-grams, which links most of a group at one pair per set; later ones differ, so a set meets many.
+            hub = F.struct(F.xxhash64("node", *(["gram"] if turn else []), F.lit(turn)), *KEPT[1:])
             other = members.groupBy("gram").agg(F.min(F.when(F.col("indexed"), hub)).alias("hub")).select("gram", *[f"hub.{c}" for c in KEPT[1:]])
         one, two = _possible("x", "y", similarity), _possible("y", "x", similarity)
         rule = f"x.gram = y.gram and x.root != y.root and ({one if few else f'({one}) or ({two})'})"
