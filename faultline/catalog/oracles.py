@@ -186,6 +186,13 @@ found AS (SELECT vec_id, position, avg(value) AS value FROM ranked WHERE nth <=
 SELECT vec_id, CAST(long.position AS INTEGER) AS position,
   round(coalesce(long.value, found.value, avg(long.value) OVER (PARTITION BY long.position)), 6) AS value
 FROM long LEFT JOIN found USING (vec_id, position)"""
+_GAPS = """
+WITH cells AS (SELECT vec_id, CAST(position AS INTEGER) AS position, (vec_id + position) % 7 = 0 AS gap FROM embeddings CROSS JOIN (SELECT unnest(range(0, 64)) AS position)),
+supply AS (SELECT position, least(5, count(*) FILTER (NOT gap)) AS found FROM cells GROUP BY position)"""
+ORACLES["approximate_neighbors"] = _GAPS + """
+SELECT vec_id, position, found, true AS distances_true FROM cells JOIN supply USING (position) WHERE gap AND found > 0"""
+ORACLES["approximate_recall"] = _GAPS + """
+SELECT count(DISTINCT vec_id) AS queries, CAST(sum(found) AS BIGINT) AS wanted, true AS enough FROM cells JOIN supply USING (position) WHERE gap AND vec_id % 20 = 0"""
 ORACLES["knn_classify"] = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS y FROM embeddings),
 ranked AS (

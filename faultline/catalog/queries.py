@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from faultline.catalog import standins
 from faultline.catalog.standins import SCHEMA, table
 from faultline.functions import names
-from faultline.operators import (boosting, clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation)
+from faultline.operators import (
+    approximate, boosting, clustering, columns as cols, loading, metrics, models, neighbors, reporting, scaling, validation,
+)
 from faultline.plans.predict import predict_rows
 from faultline.plans.train import train_rows
 from faultline.session import durable, shared_folder, stored
@@ -334,6 +336,35 @@ def knn_impute(spark, sf_dir):
     )
 
 
+#: Small enough leaves that the index has several on the given tables.
+APPROX_LEAF_ROWS = 64
+
+
+def _index(rows):
+    return approximate.build_index(rows, leaf_rows=APPROX_LEAF_ROWS)
+
+
+@query
+def approximate_neighbors(spark, sf_dir):
+    """Per row and gap: how many neighbours the index reports, and whether each distance is that of the stored vectors."""
+    rows = durable(standins.gappy_vectors(table(spark, sf_dir, "embeddings")))
+    found = approximate.nearest(_index(rows), rows)
+    asked, held = rows.select(F.col("row_key").alias("key"), F.col("sensors").alias("x")), rows.select(F.col("row_key").alias("donor"), F.col("sensors").alias("y"))
+    gaps = F.filter(F.zip_with("x", "y", lambda a, b: (a - b) * (a - b)), lambda g: g.isNotNull())
+    square = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g) * (F.size("x") / F.size(gaps))
+    true = (F.abs(F.col("distance") - square) <= 1e-9 * square) & F.get("x", F.col("position")).isNull() & (F.get("y", F.col("position")) == F.col("donated"))
+    judged = found.join(asked, "key").join(held, "donor").select("key", "position", "donor", true.alias("true"))
+    return judged.groupBy(F.col("key").alias("vec_id"), "position").agg(F.countDistinct("donor").alias("found"), F.bool_and("true").alias("distances_true"))
+
+
+@query
+def approximate_recall(spark, sf_dir):
+    """Rows whose id is divisible by 20, against all rows."""
+    rows = durable(standins.gappy_vectors(table(spark, sf_dir, "embeddings")))
+    measured = approximate.recall(_index(rows), rows.where("row_key % 20 = 0"))
+    return measured.select("queries", "wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query
 def knn_classify(spark, sf_dir):
     rows = durable(standins.vectors(table(spark, sf_dir, "embeddings")))
