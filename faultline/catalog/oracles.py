@@ -291,6 +291,7 @@ ORACLES["append_twice"] = f"""
 SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 2 <> 0 THEN l_tax END AS l_tax, file AS source_file, sha256(CAST(l_orderkey AS VARCHAR)) AS sha256
 FROM (SELECT *, {FILE} AS file FROM lineitem)"""
 ORACLES["csv_round_trip"] = "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem"
+ORACLES["csv_one_file"] = ORACLES["csv_round_trip"]
 ORACLES["kmeans_consistent"] = "SELECT vec_id, true AS nearest, true AS centre_is_mean FROM embeddings"
 ORACLES["elbow_bounded"] = "SELECT CAST(k AS INTEGER) AS k, true AS bounded FROM range(2, 11) AS t(k)"
 ORACLES["train_knn"] = """

@@ -324,6 +324,15 @@ def csv_round_trip(spark, sf_dir):
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
+@query
+def csv_one_file(spark, sf_dir):
+    """Exported in order as a single CSV file and read again."""
+    rows = _lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    path = f"{shared_folder(spark)}/exported-{uuid.uuid4().hex}.csv"
+    tables.export_one_csv(rows.orderBy("l_orderkey", "l_linenumber"), path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 # -- neighbours ---------------------------------------------------------------------------------------------
 
 

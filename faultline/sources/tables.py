@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from pathlib import PurePosixPath
 
@@ -14,6 +15,7 @@ from faultline.schema import SensorSchema
 REST = "unread_text"
 #: How many cells beyond the declared ones the CSV reader makes room for in a row.
 MORE_COLUMNS = 1 << 20
+COPY_BUFFER = 1 << 16
 
 
 def read_rows(spark: SparkSession, folder: str, schema: SensorSchema, style: str = "clean", extension: str = ".csv",
@@ -81,6 +83,41 @@ def export_csv(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(folder)
 
 
+def export_one_csv(df: DataFrame, path: str) -> None:
+    """CSV with one header in a single file, in the order of ``df``'s rows, replacing the file (or folder) at ``path``.
+
+    Tasks write the rows as ordered parts beside ``path``; their bytes are then copied one part after the other through a small
+    buffer, as most file systems cannot join files. The file appears under its name only when it is whole. ``export_csv`` has no single writer.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    work = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}")
+    head, rows, whole = (jvm.org.apache.hadoop.fs.Path(work, name) for name in ("head", "rows", "whole"))
+    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(df.columns))])
+    try:
+        spark.createDataFrame([tuple(df.columns)], names).coalesce(1).write.csv(head.toString())
+        df.write.csv(rows.toString())
+        out = files.create(whole)
+        try:
+            for folder in (head, rows):
+                parts = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-")]
+                for part in sorted(parts, key=lambda p: int(p.getName().split("-")[1])):
+                    source = files.open(part)
+                    try:
+                        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
+                    finally:
+                        source.close()
+        finally:
+            out.close()
+        files.delete(target, True)
+        if not files.rename(whole, target):
+            raise OSError(f"cannot write {path}")
+    finally:
+        files.delete(work, True)
+
+
 def predictions_name(input_path: str, now: datetime | None = None) -> str:
     """Fixed format: the input's stem and a time stamp."""
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
