@@ -65,6 +65,12 @@ def without_files(rows: DataFrame, defect: Column, file: str = "source_file") ->
     return rows.join(bad, file, "left_anti")
 
 
+def whole_files(rows: DataFrame, expected: str = "n_filled", file: str = "source_file") -> DataFrame:
+    """Drop every row of a file whose number of rows is not the ``expected`` one, which its rows carry."""
+    counted = rows.groupBy(file).agg(F.count("*").alias("n"), F.max(expected).alias("expected"))
+    return rows.join(counted.where(F.col("n") != F.col("expected")).select(file), file, "left_anti")
+
+
 def missing_wafer(wafer: Column) -> Column:
     return wafer.isNull() | (wafer == "")
 

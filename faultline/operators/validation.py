@@ -100,6 +100,7 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
     failure = F.col("failure") if "failure" in records.columns else F.lit(None).cast("string")
     opened = F.col("open") if "open" in records.columns else F.lit(False)
     plain = F.col("plain") if "plain" in records.columns else F.lit(False)
+    blank = F.col("blank") if "blank" in records.columns else F.lit(False)
     header_like = _header_like(cells, schema)
     low, high = _filled_span(cells, width)
     checked = records.select(
@@ -113,6 +114,7 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
         F.when(plain, F.lit(width)).otherwise(high).alias("high"),
         failure.alias("failure"),
         opened.alias("open"),
+        blank.alias("blank"),
         "cells",
     ).select(
         "*",
@@ -128,6 +130,7 @@ def chunk_facts(records: DataFrame, schema: SensorSchema) -> DataFrame:
         F.max("high").alias("high"),
         F.min(F.greatest(F.col("n_cells"), F.lit(width))).alias("narrowest"),
         F.max("open").alias("open"),
+        F.count_if("blank").alias("n_blank"),
     )
 
 
@@ -225,12 +228,17 @@ def blank_columns_reason(schema: SensorSchema, mode: str) -> Column:
 
 def verdicts(files: DataFrame, headers: DataFrame, facts: DataFrame, schema: SensorSchema, mode: str,
              pattern: str = FILE_NAME_PATTERN) -> DataFrame:
-    """``files`` (file) + ``headers`` (file, header, ...) + ``file_facts`` -> the same files with ``reason``/``verdict``."""
+    """``files`` (file) + ``headers`` (file, header, ...) + ``file_facts`` -> the same files with ``reason``/``verdict``.
+
+    ``unread`` in ``headers``, if there, is the failure of a file that could not be read.
+    """
+    unread = F.col("unread") if "unread" in headers.columns else F.lit(None).cast("string")
     joined = files.join(headers, "file", "left").join(facts, "file", "left")
     header = F.col("header")
     header_error = F.col("error.position").eqNullSafe(0) & (F.col("error.row_num") == 1)
     reason = F.coalesce(
         file_name_reason(F.col("file"), pattern),
+        F.concat(F.lit("Processing error: "), unread),
         F.when(F.col("n_rows").isNull(), "File is empty"),
         F.when(header_error, F.concat(F.lit("Processing error: "), F.col("error.text"))),
         header_reason(header, schema, mode),
@@ -238,7 +246,7 @@ def verdicts(files: DataFrame, headers: DataFrame, facts: DataFrame, schema: Sen
         F.when(F.col("n_rows") == 0, "File contains no data rows"),
         blank_columns_reason(schema, mode),
     )
-    kept = [c for c in headers.columns if c not in ("file", "header")]
+    kept = [c for c in headers.columns if c not in ("file", "header", "unread")]
     return joined.select("file", *kept, reason.alias("reason")).select(
         "*", F.when(F.col("reason").isNull(), "good").otherwise("bad").alias("verdict")
     )

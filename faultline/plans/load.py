@@ -11,12 +11,15 @@ from faultline.sources import tables
 
 def accepted_rows(spark: SparkSession, folder: str, judged: DataFrame, schema: SensorSchema, mode: str,
                   style: str = "clean") -> DataFrame:
-    """Typed rows of the good files in ``folder``, with ``source_file`` and ``sha256``."""
+    """Typed rows of the good files in ``folder``, with ``source_file`` and ``sha256``.
+
+    A good file that can no longer be read whole is left out; the others are loaded.
+    """
     good = judged.where(F.col("verdict") == "good")
 
     def rows_of(files: DataFrame, multi_line: bool) -> DataFrame:
-        wanted = files.select(F.col("file").alias("source_file"), "sha256")
-        return tables.read_rows(spark, folder, schema, style, multi_line=multi_line).join(wanted, "source_file")
+        wanted = files.select(F.col("file").alias("source_file"), "sha256", "n_filled")
+        return tables.read_rows(spark, folder, schema, style, multi_line=multi_line, wanted=wanted)
 
     rows = rows_of(good.where(~F.col("spanning")), False)
     spanning = good.where("spanning")

@@ -15,25 +15,37 @@ from faultline.sources import folder as drop
 
 def validate_folder(spark: SparkSession, folder: str, schema: SensorSchema, mode: str = "training",
                     pattern: str = validation.FILE_NAME_PATTERN, extension: str = ".csv") -> DataFrame:
-    """Verdict table ``(file, sha256, spanning, reason, verdict, target_name)``, one row per file.
+    """Verdict table ``(file, sha256, spanning, reason, verdict, n_filled, target_name)``, one row per file.
 
-    ``spanning`` marks files in which a quoted field contains a line break. The table is stored, so that later steps read verdicts
+    ``spanning`` marks files in which a quoted field contains a line break; ``n_filled`` counts the data records that are not
+    blank. A file that cannot be read, or not to its end, is rejected and the others are judged. The table is stored, so that later steps read verdicts
     and hashes instead of the folder.
     """
     validation.check_mode(mode)
     lines = drop.line_records(drop.lines(spark, folder, extension), schema.types)
     chunks = stored(validation.chunk_facts(lines, schema))
-    headers = drop.digests(spark, folder, extension).withColumn("spanning", F.lit(False))
+    seen = chunks.groupBy("file").agg(F.sum("n_lines").alias("n_seen"))
+    n_seen = F.coalesce("n_seen", F.lit(0))
+    present = drop.filled_files(spark, folder, extension).select("file")
+    headers = present.join(drop.digests(spark, folder, extension), "file", "left").join(seen, "file", "left").select(
+        "file",
+        "sha256",
+        "header",
+        F.lit(False).alias("spanning"),
+        F.when(~F.col("n_lines").eqNullSafe(n_seen), drop.UNREAD).alias("unread"),
+    )
     records = lines.select("file", "cells")
     spanning = chunks.where("open").select("file").distinct()
     if not spanning.isEmpty():
-        whole = drop.spanning_records(spark, folder, spanning, extension)
+        whole = drop.spanning_records(spark, folder, spanning, extension).withColumn("blank", F.size("cells") == 0)
         first = whole.where(F.col("line_id") == 0).select("file", F.col("cells").alias("spanning_header"))
-        headers = headers.join(first, "file", "left").select(
+        expected = spanning.withColumn("expected", F.lit(True))
+        headers = headers.join(first, "file", "left").join(expected, "file", "left").select(
             "file",
             "sha256",
             F.coalesce("spanning_header", "header").alias("header"),
-            F.col("spanning_header").isNotNull().alias("spanning"),
+            F.col("expected").isNotNull().alias("spanning"),
+            F.coalesce("unread", F.when(F.col("expected") & F.col("spanning_header").isNull(), drop.UNREAD)).alias("unread"),
         )
         chunks = chunks.join(spanning, "file", "left_anti").unionByName(validation.chunk_facts(whole, schema))
         records = records.join(spanning, "file", "left_anti").unionByName(whole.select("file", "cells"))
@@ -41,7 +53,8 @@ def validate_folder(spark: SparkSession, folder: str, schema: SensorSchema, mode
     longer = facts.where(F.col("narrowest") > len(schema.columns)).select("file")
     facts = validation.with_blank_extras(facts, records.join(longer, "file", "left_semi"), schema)
     judged = validation.verdicts(drop.list_files(spark, folder, extension), headers, facts, schema, mode, pattern)
-    return stored(judged.withColumn(
+    filled = chunks.groupBy("file").agg((F.sum("n_lines") - F.sum("n_blank") - 1).alias("n_filled"))
+    return stored(judged.join(filled, "file", "left").withColumn(
         "target_name",
         F.when(F.col("verdict") == "good", validation.target_name(F.col("file"), F.col("sha256"))),
     ))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from faultline.operators import loading
 from faultline.schema import SensorSchema
+from faultline.session import stored
 
 REST = "unread_text"
 #: How many cells beyond the declared ones the CSV reader makes room for in a row.
@@ -19,9 +20,12 @@ COPY_BUFFER = 1 << 16
 
 
 def read_rows(spark: SparkSession, folder: str, schema: SensorSchema, style: str = "clean", extension: str = ".csv",
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool = False, wanted: DataFrame | None = None) -> DataFrame:
     """Accepted files as text columns in schema order plus ``source_file``.
 
+    ``wanted`` ``(source_file, n_filled, ...)`` names the files to keep, with further columns of theirs, and how many rows each must give: the
+    rows are stored, and a file that gave another number, because its read failed, is left out.
+
     Column positions come from the declared schema; validation has compared every header with it. Blank lines
     are skipped and short rows padded. A file with an over-long row has no well-defined columns and is left
     out. ``multi_line`` reads each file in one task, for files whose quoted fields contain line breaks.
@@ -35,12 +39,16 @@ def read_rows(spark: SparkSession, folder: str, schema: SensorSchema, style: str
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", True)
         .option("maxColumns", len(columns) + MORE_COLUMNS)
         .option("maxCharsPerColumn", -1)
         .option("pathGlobFilter", f"*{extension}")
         .csv(folder)
         .withColumn("source_file", F.element_at(F.split(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/"), -1))
     )
+    if wanted is not None:
+        rows = loading.whole_files(stored(rows.join(wanted, "source_file"))).drop("n_filled")
     return loading.without_files(rows, F.col(REST).isNotNull()).drop(REST)
 
 
