@@ -17,7 +17,7 @@ from faultline.catalog.queries import QUERIES  # noqa: E402
 from faultline.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "normalize_names", "file_hash_prefix", "header_check", "dtype_first_error", "file_verdicts", "validation_summary",
+    "normalize_names", "file_hash_prefix", "header_check", "dtype_first_error", "short_rows", "file_verdicts", "validation_summary",
     "load_union_by_name", "load_drop_bad_files", "load_coerce_types", "qmark_to_null", "zero_variance_columns",
     "mean_impute", "mode_impute", "prediction_fill", "row_positions", "knn_impute", "approximate_neighbors", "knn_classify", "standardize", "wcss_k1",
     "assign_fixed_centers", "kmeans_clusters", "auc_rank_sum", "select_best_model", "prediction_labels", "prediction_sorted",

@@ -78,6 +78,13 @@ BLANK_REASON = "CASE WHEN filled.n <= 1 THEN 'All feature columns contain only n
 
 ORACLES["dtype_first_error"] = f"""WITH {CELLS}
 SELECT file, CAST(row_num AS BIGINT) AS row_num, CAST(position AS BIGINT) AS position, text FROM first_bad WHERE d NOT IN (3, 4, 5, 6)"""
+ORACLES["short_rows"] = f"""
+WITH cut AS (SELECT {FILE} AS file, l_linenumber + 1 AS row_num, l_partkey % 6 + 1 AS width, l_suppkey % 5 = 0 AS odd FROM lineitem),
+wrong AS (SELECT file, min(row_num) AS row_num FROM cut WHERE odd AND width >= 3 GROUP BY file)
+SELECT cut.file, count(*) AS n_rows, CAST(any_value(wrong.row_num) AS BIGINT) AS row_num,
+  CAST(any_value(CASE WHEN wrong.row_num IS NOT NULL THEN 3 END) AS BIGINT) AS position,
+  any_value(CASE WHEN wrong.row_num IS NOT NULL THEN 'abc' END) AS text, CAST(1 AS BIGINT) AS first_filled, CAST(max(width) AS BIGINT) AS last_filled
+FROM cut LEFT JOIN wrong USING (file) GROUP BY cut.file"""
 ORACLES["null_columns_check"] = f"WITH {CELLS} SELECT file, {BLANK_REASON} AS reason FROM filled WHERE d NOT IN (3, 4, 5, 6)"
 
 VERDICTS = f"""WITH {HEADERS}, {CELLS},

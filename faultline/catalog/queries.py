@@ -109,6 +109,21 @@ def dtype_first_error(spark, sf_dir):
     )
 
 
+@query
+def short_rows(spark, sf_dir):
+    """Cells that a row lacks fit every type and count as blank."""
+    facts = validation.file_facts(validation.chunk_facts(standins.short_records(_lineitem(spark, sf_dir)), SCHEMA))
+    return facts.select(
+        "file",
+        F.col("n_rows").cast("bigint").alias("n_rows"),
+        F.col("error.row_num").cast("bigint").alias("row_num"),
+        F.col("error.position").cast("bigint").alias("position"),
+        F.col("error.text").alias("text"),
+        F.col("low").cast("bigint").alias("first_filled"),
+        F.col("high").cast("bigint").alias("last_filled"),
+    )
+
+
 @query
 def null_columns_check(spark, sf_dir):
     facts = _facts_after_header(spark, sf_dir).where(F.col("n_rows") > 0)

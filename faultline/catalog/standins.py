@@ -70,6 +70,20 @@ def records(lineitem: DataFrame) -> DataFrame:
     return top.unionByName(body)
 
 
+def short_records(lineitem: DataFrame) -> DataFrame:
+    """``(file, chunk, line_id, cells)`` with one to six cells a row; some third cells, where there, are no numbers."""
+    third = F.when(F.col("l_suppkey") % 5 == 0, "abc").otherwise(F.col("l_extendedprice").cast("string"))
+    full = F.array(F.col("l_partkey").cast("string"), F.col("l_quantity").cast("string"), third, F.col("l_discount").cast("string"),
+                   F.col("l_tax").cast("string"), F.lit("1"))
+    file, chunk = file_name(F.col("l_orderkey")).alias("file"), F.lit(0).cast("bigint").alias("chunk")
+    body = lineitem.select(
+        file, chunk, F.col("l_linenumber").cast("bigint").alias("line_id"), F.slice(full, F.lit(1), (F.col("l_partkey") % 6 + 1).cast("int")).alias("cells")
+    )
+    header = F.lit(["wafer", "Sensor - 1", "Sensor - 2", "Sensor - 3", "Sensor - 4", "Output"]).alias("cells")
+    top = lineitem.select("l_orderkey").distinct().select(file, chunk, F.lit(0).cast("bigint").alias("line_id"), header)
+    return top.unionByName(body)
+
+
 def sensor_rows(lineitem: DataFrame) -> DataFrame:
     label = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     return lineitem.select("l_orderkey", "l_partkey", "l_linenumber", F.array(*SENSORS).alias("sensors"), label.alias("label"))
