@@ -118,3 +118,46 @@ def test_present_cells_stay(spark):
     joined = frame.alias("a").join(neighbors.knn_impute(frame).alias("b"), "row_key")
     changed = joined.where(F.exists(F.arrays_zip(F.col("a.sensors").alias("x"), F.col("b.sensors").alias("y")), lambda p: p.x.isNotNull() & (p.x != p.y)))
     assert joined.count() == 3 and changed.count() == 0
+
+
+@pytest.mark.parametrize("within", [False, True])
+@pytest.mark.parametrize("kind", ["patterns", "sprinkled", "rare", "offset", "equal"])
+def test_tiles_against_all_pairs(monkeypatch, kind, within):
+    """Bounds from products in single precision leave out no neighbour, and a search keeps few rows however many donors a task holds."""
+    monkeypatch.setattr(neighbors, "TILE", (16, 64))
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 2, (400, 6)).astype(float) if kind == "equal" else rng.normal(0, 1, (400, 6))
+    x = x * 1e-3 + 1e6 if kind == "offset" else x
+    if kind == "patterns":
+        x[(np.arange(400)[:, None] + np.arange(6)) % 3 == 0] = np.nan
+    else:
+        x[rng.random(x.shape) < 0.2] = np.nan
+    if kind == "rare":
+        x[7:, 2] = np.nan
+    keys, queries = rng.permutation(400), x[:60]
+    want, reach = {}, np.full(60, np.inf)
+    for i, q in enumerate(queries):
+        common = (~np.isnan(x) & ~np.isnan(q)).sum(1)
+        distance = np.where(common > 0, np.nansum((x - q) ** 2, axis=1) * 6 / np.maximum(common, 1), np.inf)
+        for t in np.flatnonzero(np.isnan(q)):
+            can = np.flatnonzero(~np.isnan(x[:, t]) & (common > 0))
+            want[i, t] = can[np.lexsort((keys[can], distance[can]))][:5].tolist()
+        full = [want[i, t] for t in np.flatnonzero(np.isnan(q))]
+        if full and all(len(f) == 5 for f in full):
+            reach[i] = max(distance[f[-1]] for f in full)
+    got = {}
+    for i, t, d, _ in sorted(zip(*neighbors._local_top(queries, x, keys, 5, reach if within else None)), key=lambda r: (r[0], r[1], r[3], keys[r[2]])):
+        got.setdefault((int(i), int(t)), []).append(int(d))
+    assert got == {at: found for at, found in want.items() if found}
+
+
+def test_a_part_holds_many_blocks(spark, monkeypatch):
+    """The rows that tasks hand on for a query grow with the parts, 65,536 donors each, and not with every 2,048 donors."""
+    x = np.random.default_rng(2).normal(0, 1, (9000, 4))
+    x[:40, 1] = np.nan
+    counted = []
+    monkeypatch.setattr(neighbors, "stored", lambda frame, keep=neighbors.stored: counted.append(frame.columns) or keep(frame))
+    got = filled(frame_of(spark, list(range(9000)), x).where("row_key < 9000"))
+    assert ["key", "position", "donor", "distance", "donated"] not in counted     # one part: no second search
+    near = np.argsort(np.nansum((x - x[3]) ** 2, axis=1) + np.where(np.isnan(x[:, 1]), np.inf, 0), kind="stable")[:5]
+    assert got[3][1] == pytest.approx(x[near, 1].mean())
