@@ -12,11 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.llm.tables import WORD, fresh_name, held_out, n_words
+from faultline.session import stored
 
 SAMPLE_ROWS = 10_000
 TREES = 16
@@ -133,9 +135,10 @@ def _held(rule: Rule, values: np.ndarray) -> np.ndarray:
 
 
 def _vectors(spark, values: np.ndarray, target: np.ndarray) -> DataFrame:
-    columns = [f"x{i}" for i in range(values.shape[1])]
-    table = spark.createDataFrame(np.column_stack([target, values]).tolist(), ["label", *columns])
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(table).select("label", "features")
+    """The sample as one stored file: a fit's many jobs read it there, where rows held by the driver would be sent again with the tasks of each."""
+    arrow = pa.table({"label": pa.array(target), "x": pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).cast(pa.list_(pa.float64()))})
+    rows = stored(spark.createDataFrame(arrow, "label double, x array<double>").coalesce(1))
+    return rows.select("label", array_to_vector("x").alias("features")).coalesce(1)
 
 
 def scored(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -40,3 +40,11 @@ def test_edge_cases_and_no_labels(spark):
     assert all(r.predicted == 1 for r in quality.scored(docs, quality.fitted(docs, ones)).collect())
     mixed = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 20)] + [(None, 1, 0), (3, None, 0)], "doc_id bigint, quality int, toxic int")
     assert all(0 <= r.score <= 1 for r in quality.scored(docs, quality.fitted(docs, mixed)).collect())
+
+
+def test_the_sample_is_read_from_one_file(spark):
+    """A fit's jobs read the sample from a stored file; rows held by the driver would be sent with every job's tasks."""
+    values, target = np.arange(12.0).reshape(4, 3), np.array([0.0, 1.0, 1.0, 0.0])
+    table = quality._vectors(spark, values, target)
+    assert [list(r.features) for r in table.collect()] == values.tolist() and [r.label for r in table.collect()] == target.tolist()
+    assert len(table.inputFiles()) == 1 and table.rdd.getNumPartitions() == 1
