@@ -222,14 +222,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
     return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(similarity), "a bigint, b bigint, similar boolean"))
 
 
-def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """Links a, b between nodes that connect all sets that are similar."""
+def links(sets: DataFrame, similarity: Fraction, first: DataFrame | None = None) -> DataFrame:
+    """Links a, b between nodes that connect all sets that are similar. Pairs a > b of ``first`` are verified before any other."""
     index = F.expr(f"size - cast(ceil({2 * similarity.numerator} * size / {similarity.numerator + similarity.denominator}) as bigint) + 1")
     posted = sets.select("node", "size", "single", "bits", F.posexplode("prefix").alias("place", "gram")).withColumn("at", F.col("single") + F.col("place"))
     posted = posted.select("gram", "node", "size", "single", "bits", "at", (F.col("at") < index).alias("indexed"))
     useful = posted.groupBy("gram").agg(F.count("*").alias("n"), F.max("indexed").alias("some")).filter("n > 1 and some").select("gram")
     posted = stored(posted.join(useful, "gram", "left_semi"))
     tried = roots = before = None
+    if first is not None:
+        tried = _verified(first, sets, similarity)
+        roots = connected(tried.filter("similar").select("a", "b"))
     for turn in range(ROUNDS + 1):
         named = posted.withColumn("root", F.col("node")) if roots is None else posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         per_root = named.groupBy("gram", "root").agg(F.count("*").alias("n"))
@@ -262,10 +265,19 @@ def links(sets: DataFrame, similarity: Fraction) -> DataFrame:
     return tried.filter("similar").select("a", "b")
 
 
+def _nodes_of(candidates: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs a > b of the nodes that stand for the documents' sets. Equal sets and those without a possible partner give none."""
+    of = found.filter("prefix is not null").select("digest", F.explode("ids").alias("id")).join(groups.select("digest", "node"), "digest").select("id", "node")
+    ends = candidates.join(of.toDF("a", "node_a"), "a").join(of.toDF("b", "node_b"), "b").filter("node_a != node_b")
+    return ends.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: Fraction = SIMILARITY,
-                   batch_bytes: int = BATCH_BYTES) -> DataFrame:
+                   batch_bytes: int = BATCH_BYTES, candidates: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id that links of similar texts reach, its own included).
 
+    ``candidates``: pairs a, b of ids that another method holds to be similar. They are verified first; the join goes on between what they leave apart.
+
     Equal n-grams are those with equal 64-bit hashes. A null or wordless text has no n-grams and links with nothing, not even its like. Repeated rows are
     documents of their own that link with each other; a null id is larger than any other, and a component of such has a null
     component_id. No rows give no rows; other columns are ignored, whatever their names. A text of any length is one set.
@@ -278,7 +290,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     again = found.filter("prefix is not null").select("node", "digest").join(groups.select("digest", F.col("node").alias("first")), "digest").filter("node != first")
     again = stored(again.select("node"))
     sets = found.filter("prefix is not null").select("node", "size", "single", "prefix", "bits", "shared", "classes").join(again, "node", "left_anti")
-    roots = connected(links(sets, similarity))
+    first = None if candidates is None else _nodes_of(candidates, found, groups)
+    roots = connected(links(sets, similarity, first))
     rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lowest, "root").select(F.col("digest").alias("of"), "component_id")

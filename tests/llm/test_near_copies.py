@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from edge_tables import edge_documents
-from faultline.llm import near_copies
+from faultline.llm import near_copies, ngram_join, simhash
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -55,3 +55,24 @@ def test_edge_cases(spark):
     docs = edge_documents(spark)
     assert got(near_copies.drop_near_copies(docs)) == slow_kept(docs.collect())
     assert near_copies.drop_near_copies(edge_documents(spark, rows=False)).count() == 0
+
+
+def test_simhash_names_the_first_pairs(spark, monkeypatch):
+    """The stage takes op1's components, and the join verifies their pairs before any other."""
+    texts = [WORDS[:300], WORDS[:300] + ["other"], WORDS[300:400]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    fps = [simhash.fingerprint(" ".join(t).encode()) for t in texts]
+    assert (fps[0] ^ fps[1]).bit_count() <= simhash.RADIUS < (fps[0] ^ fps[2]).bit_count()
+    asked, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or verified(pairs, *rest))
+    assert got(near_copies.drop_near_copies(docs)) == [0, 2]
+    assert asked == [1]
+
+
+def test_candidates_are_only_tried(spark):
+    """False candidates link nothing, and what the candidates lack is still found."""
+    texts = [WORDS[:100], WORDS[:50] + ["other"] + WORDS[51:100], WORDS[45:100] + WORDS[200:240], WORDS[200:300], []]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    candidates = spark.createDataFrame([(2, 0), (3, 0), (4, 3)], "a bigint, b bigint")
+    got = ngram_join.similar_groups(docs, shingle=near_copies.SHINGLE, similarity=near_copies.SIMILARITY, candidates=candidates)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
