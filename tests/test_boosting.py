@@ -79,3 +79,14 @@ def test_learns_and_bears_odd_tables(spark):
     assert boosting.score(one_class, boosting.fit(one_class, 3)).where("prediction = 1").count() == 30
     constant = table(spark, np.full((20, 2), np.nan), np.arange(20) % 2)
     assert {round(r.probability, 9) for r in boosting.score(constant, boosting.fit(constant, 3)).collect()} == {0.5}
+
+
+def test_rows_are_stored_in_blocks(spark):
+    """Passes read blocks with a byte per bin, not a row of integers per wafer; none is lost."""
+    x = np.random.default_rng(5).normal(size=(9000, 3))
+    x[0, 1] = np.nan
+    booster = boosting.Booster(table(spark, x, x[:, 0] > 0), 0.3, 2, 1.0, 0.0, 1.0)
+    blocks = booster.rows.collect()
+    assert booster.size == 9000 == sum(r.n for r in blocks) and len(blocks) < 50
+    assert all(len(r.bins) == 3 * r.n and len(r.label) == len(r.margin) == 8 * r.n <= 8 * boosting.BLOCK_ROWS for r in blocks)
+    assert sum(r.bins.count(boosting.GAP) for r in blocks) == 1
