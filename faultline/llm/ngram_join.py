@@ -38,6 +38,7 @@ PAIRS_PER_POSTING = 4
 ROUNDS, LEAST_ROUNDS = 8, 4
 BITS = 512  # that hashes flip, and sections of the hash range per class of counts, for the suffix filter
 SECTIONS = 8
+KEYS_AT_ONCE = 1 << 16  # n-grams that a task names at a time
 SHORT = np.uint64((1 << 32) - 1)
 KEPT = ["gram", "node", "size", "single", "bits", "at", "indexed", "root"]
 SETS = "node bigint, digest binary, size bigint, single bigint, prefix array<bigint>, bits array<bigint>, shared binary, classes binary, ids array<bigint>"
@@ -63,20 +64,33 @@ def hashed_set(text: bytes, shingle: int) -> np.ndarray:
 
 
 class Batch:
-    """A batch's distinct sets, the ids of the documents that have each, and the batch's n-grams in the order of their parts."""
+    """A batch's distinct sets: all hashes in one buffer, and for each set a digest, where its hashes begin and end, and the ids of the documents that have it."""
 
-    def __init__(self, table: pa.Table, shingle: int, parts: int):
-        found: dict[bytes, list] = {}
+    def __init__(self, table: pa.Table, shingle: int):
+        found: dict[bytes, tuple] = {}
         self.without: list = []
+        packed = bytearray()
         for doc_id, text in zip(table.column("doc_id").to_pylist(), (t for chunk in table.column("text").chunks for t in chunk)):
             hashes = hashed_set(text.as_buffer().to_pybytes() if text.is_valid else b"", shingle)
-            if len(hashes):
-                found.setdefault(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), [hashes, []])[1].append(doc_id)
-            else:
+            if not len(hashes):
                 self.without.append(doc_id)
-        self.sets = sorted((digest, hashes, ids) for digest, (hashes, ids) in found.items())
-        hashes = np.concatenate([s[1] for s in self.sets]) if self.sets else np.empty(0, dtype=np.uint64)
-        self.keys, self.counts = np.unique(key_of(hashes, parts), return_counts=True)
+                continue
+            values = hashes.tobytes()
+            digest = hashlib.blake2b(values, digest_size=16).digest()
+            if digest not in found:
+                found[digest] = (len(packed) // 8, len(packed) // 8 + len(hashes), [])
+                packed += values
+            found[digest][2].append(doc_id)
+        self.sets = sorted((digest, *of) for digest, of in found.items())
+        self.hashes = np.frombuffer(packed, dtype=np.uint64)
+
+
+def named(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The hashes' keys, sorted, in place of the hashes, as these are the most that a task holds."""
+    for at in range(0, len(hashes), KEYS_AT_ONCE):
+        hashes[at : at + KEYS_AT_ONCE] = key_of(hashes[at : at + KEYS_AT_ONCE], parts)
+    hashes.sort()
+    return hashes
 
 
 def key_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -98,8 +112,24 @@ def flipped(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _fresh(owners: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], owners[1:] != owners[:-1]]) if len(owners) else np.empty(0, dtype=bool)
+
+
 def _begins(owners: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]])) if len(owners) else np.empty(0, dtype=np.int64)
+    return np.flatnonzero(_fresh(owners))
+
+
+def sent_rows(number: int, keys: np.ndarray, parts: int) -> list[tuple]:
+    """Per part a batch's n-grams as differences, and in how many of its sets each is."""
+    edges = np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+    rows = []
+    for part in np.flatnonzero(np.diff(edges)):
+        own = keys[edges[part] : edges[part + 1]]
+        begins = _begins(own)
+        short = (own[begins] & SHORT).astype(np.int64)
+        rows.append((number, int(part), planes(np.diff(short, prepend=0)), planes(np.diff(begins, append=len(own)))))
+    return rows
 
 
 def prefix_sizes(size: int, similarity: Fraction) -> tuple[int, int]:
@@ -132,14 +162,7 @@ def found_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
     dealt = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).alias("batch"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def send(table: pa.Table) -> pa.Table:
-        batch, number = Batch(table, shingle, parts), table.column("batch")[0].as_py()
-        owners = (batch.keys >> np.uint64(32)).astype(np.int64)
-        begins = _begins(owners)
-        rows = []
-        for b, e in zip(begins, np.append(begins[1:], len(owners))):
-            short = (batch.keys[b:e] & SHORT).astype(np.int64)
-            rows.append((number, int(owners[b]), planes(np.diff(short, prepend=0)), planes(batch.counts[b:e])))
-        return _table(rows, SENT)
+        return _table(sent_rows(table.column("batch")[0].as_py(), named(Batch(table, shingle).hashes, parts), parts), SENT)
 
     def count(table: pa.Table) -> pa.Table:
         steps, counts = ([from_planes(v.as_py()) for v in table.column(c)] for c in ("steps", "counts"))
@@ -153,15 +176,16 @@ def found_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
         rows = [(b, p, classes[e - len(s) : e].tobytes()) for b, p, s, e in zip(table.column("batch").to_pylist(), table.column("part").to_pylist(), steps, ends)]
         return _table(rows, TOLD)
 
-    def order(table: pa.Table, told: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _table([], FOUND)
-        batch, number = Batch(table, shingle, parts), table.column("batch")[0].as_py()
+    def ordered(table: pa.Table, told: pa.Table) -> list[tuple]:
+        batch, number = Batch(table, shingle), table.column("batch")[0].as_py()
+        keys = named(batch.hashes.copy(), parts)
+        keys = keys[_fresh(keys)]
         answers = sorted(zip(told.column("part").to_pylist(), told.column("classes").to_pylist()))
         classes = np.frombuffer(b"".join(a for _, a in answers), dtype=np.uint8)
         rows = []
-        for at, (digest, hashes, ids) in enumerate(batch.sets):
-            of = classes[np.searchsorted(batch.keys, key_of(hashes, parts))]
+        for at, (digest, begin, end, ids) in enumerate(batch.sets):
+            hashes = batch.hashes[begin:end]
+            of = classes[np.searchsorted(keys, key_of(hashes, parts))]
             shared = np.flatnonzero(of)
             single = len(hashes) - len(shared)
             posted = prefix_sizes(len(hashes), similarity)[1] - single
@@ -172,7 +196,10 @@ def found_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
                 rows.append((number << 32 | at, digest, len(hashes), single, None, None, None, None, ids))
         if batch.without:
             rows.append((number << 32 | len(batch.sets), None, 0, 0, None, None, None, None, batch.without))
-        return _table(rows, FOUND)
+        return rows
+
+    def order(table: pa.Table, told: pa.Table) -> pa.Table:
+        return _table(ordered(table, told) if table.num_rows else [], FOUND)
 
     sent = dealt.groupBy("batch").applyInArrow(send, "batch bigint, part bigint, steps binary, counts binary")
     told = sent.groupBy("part").applyInArrow(count, "batch bigint, part bigint, classes binary")
