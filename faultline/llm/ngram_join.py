@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from faultline.llm.components import connected
-from faultline.session import ship_package, stored
+from faultline.session import TEXT_BYTES, ship_package, stored
 
 SHINGLE = 4
 SIMILARITY = Fraction(17, 20)
@@ -246,7 +246,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
     pairs = stored(pairs)  # its size decides how the lists are joined
     lists = sets.select("node", "size", "single", "shared", "classes")
     left, right = (lists.toDF(side, *[f"{c}_{side}" for c in lists.columns[1:]]) for side in ("a", "b"))
-    return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(similarity), "a bigint, b bigint, similar boolean"))
+    return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(similarity), "a bigint, b bigint, similar boolean"), TEXT_BYTES)
 
 
 def links(sets: DataFrame, similarity: Fraction, first: DataFrame | None = None) -> DataFrame:
@@ -310,7 +310,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component_id. No rows give no rows; other columns are ignored, whatever their names. A text of any length is one set.
     """
     ship_package(docs.sparkSession)
-    found = stored(found_sets(docs, id_col, text_col, shingle, similarity, batch_bytes))
+    found = stored(found_sets(docs, id_col, text_col, shingle, similarity, batch_bytes), TEXT_BYTES)
     low = F.array_min("ids")  # skips nulls
     groups = found.filter("digest is not null").groupBy("digest").agg(F.min("node").alias("node"), F.min(low).alias("low"))
     groups = stored(groups)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from faultline.session import ship_package, stored
+from faultline.session import TEXT_BYTES, ship_package, stored
 
 CAPACITY = 1024
 END = 0
@@ -166,7 +166,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     Repeated rows and ids are separate documents, a null id stays null, and no rows give no rows. Very long texts are cut one at a time.
     """
     spark = docs.sparkSession
-    rows = stored(pieces(docs, id_col, text_col, capacity, vocabulary))
+    rows = stored(pieces(docs, id_col, text_col, capacity, vocabulary), TEXT_BYTES)
     by_length = ["length", "spread", "doc_id", "start", "ids_crc32"]
     spread = rows.withColumn("spread", F.xxhash64("doc_id", "start"))
     ranged = spread.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by_length).sortWithinPartitions(*by_length)

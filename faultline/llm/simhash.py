@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from faultline.llm.components import connected
 from faultline.llm.tables import fresh_name, numbered
-from faultline.session import ship_package, stored
+from faultline.session import TEXT_BYTES, ship_package, stored
 
 RADIUS = 2
 SHINGLE = 3
@@ -151,7 +151,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     it has none); its row is ``kept``, of repeated rows one. A null or wordless text has fingerprint zero and is linked like any other. An
     empty table gives no rows; other columns are ignored. ``row_col``: a unique row number, if the caller needs it back.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, row_col))
+    rows = stored(fingerprints(docs, id_col, text_col, row_col), TEXT_BYTES)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first")
     distinct = stored(rows.groupBy("fp").agg(first))
     roots = connected(links(distinct.select("fp"), shard_limit))
