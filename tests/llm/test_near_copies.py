@@ -1,5 +1,7 @@
 """Near copies against brute force over all pairs."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -76,3 +78,17 @@ def test_candidates_are_only_tried(spark):
     candidates = spark.createDataFrame([(2, 0), (3, 0), (4, 3)], "a bigint, b bigint")
     got = ngram_join.similar_groups(docs, shingle=near_copies.SHINGLE, similarity=near_copies.SIMILARITY, candidates=candidates)
     assert {r.doc_id: r.component_id for r in got.collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
+def test_no_link_around_the_limit_is_left_out(spark, monkeypatch):
+    """Groups of edited copies, whose similarities lie on both sides of the limit, with hubs to the end after the pairs that SimHash names."""
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_POSTING", 0)
+    rng = random.Random(7)
+    texts = []
+    for share in (0.002, 0.01, 0.02, 0.03):
+        base = rng.choices(WORDS, k=120)
+        texts += [[rng.choice(WORDS) if rng.random() < share else w for w in base][: rng.randint(105, 120)] for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(5)
+    kept = slow_kept(docs.collect())
+    assert 4 < len(kept) < 116
+    assert got(near_copies.drop_near_copies(docs)) == kept
